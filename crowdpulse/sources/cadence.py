@@ -1,0 +1,23 @@
+"""Streaming source with a fixed number of rows at fixed, evenly spaced times."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from crowdpulse.schemas import POLL_SECONDS, USERS_PER_ENVELOPE
+
+
+def cadence_stream(
+    spark: SparkSession,
+    rows: int = USERS_PER_ENVELOPE,
+    seconds: int = POLL_SECONDS,
+    start: int = 0,
+) -> DataFrame:
+    """`rows` numbered rows per micro-batch, their `timestamp` moving on by `seconds`."""
+    return (
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", rows)
+        .option("advanceMillisPerBatch", seconds * 1000)
+        .option("startTimestamp", start * 1000)
+        .load()
+    )

@@ -1,0 +1,71 @@
+"""Aggregates maintained over a stream and stored as whole snapshots."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from crowdpulse.operators.keyed import drop_replays
+from crowdpulse.operators.stats import country_stats, tallies
+from crowdpulse.schemas import COUNTRY_STATS, REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
+from crowdpulse.session import disk_backed_state
+from crowdpulse.sources.tables import SnapshotTable
+from crowdpulse.streaming.run import stream_writer
+
+TALLIES = T.StructType(
+    [
+        T.StructField("country", T.StringType()),
+        T.StructField("gender", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("age_sum", T.LongType()),
+        T.StructField("age_n", T.LongType()),
+        T.StructField("last_update", T.TimestampType()),
+    ]
+)
+
+
+def every(seconds: int = REFRESH_DEFAULT) -> dict[str, str]:
+    """The trigger of a periodic refresh."""
+    if not REFRESH_MIN <= seconds <= REFRESH_MAX:
+        raise ValueError(f"refresh must be {REFRESH_MIN}..{REFRESH_MAX} s, got {seconds}")
+    return {"processingTime": f"{seconds} seconds"}
+
+
+def _start_snapshots(
+    aggregate: DataFrame, schema: T.StructType, path: str, checkpoint: str, trigger: dict
+) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        SnapshotTable(batch.sparkSession, path, schema).write(batch, batch_id)
+
+    with disk_backed_state(aggregate.sparkSession):
+        return stream_writer(aggregate, "complete", checkpoint, trigger).foreachBatch(write).start()
+
+
+def start_country_stats(
+    users: DataFrame, path: str, checkpoint: str, trigger: dict, replay_horizon: str | None = None
+) -> StreamingQuery:
+    """Country statistics over a stream; one snapshot per micro-batch.
+
+    Counts every arriving row, or, with `replay_horizon`, the first arrival of
+    each key. A replay that *changes* a row does not change these numbers; where
+    that matters compute `country_stats` over the users table.
+    """
+    rows = drop_replays(users, replay_horizon) if replay_horizon else users
+    return _start_snapshots(country_stats(rows), COUNTRY_STATS, path, checkpoint, trigger)
+
+
+def start_tallies(
+    users: DataFrame, path: str, checkpoint: str, trigger: dict, replay_horizon: str | None = None
+) -> StreamingQuery:
+    """The tallies every KPI derives from; state grows with countries, not with users."""
+    rows = drop_replays(users, replay_horizon) if replay_horizon else users
+    return _start_snapshots(tallies(rows), TALLIES, path, checkpoint, trigger)
+
+
+def country_stats_table(spark, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, COUNTRY_STATS)
+
+
+def tallies_table(spark, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, TALLIES)
