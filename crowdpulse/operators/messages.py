@@ -89,11 +89,10 @@ def usable(users: DataFrame) -> DataFrame:
     return users.dropna(subset=list(USER_KEY))
 
 
-def quarantine(messages: DataFrame) -> DataFrame:
-    """What a keyed table cannot hold, with the reason and the whole message text.
+def classified(messages: DataFrame) -> DataFrame:
+    """Every user, and every message without one, with the `reason` it cannot be stored.
 
-    One row per keyless user, and one per message that yields no user at all.
-    Flattened rows and these rows together account for every message.
+    `reason` is NULL for a usable row. Only unusable rows carry the message text.
     """
     carried = [name for name in COORDINATES if name in messages.columns]
     rows = _explode(messages, USER_KEY, with_text=True)
@@ -105,7 +104,14 @@ def quarantine(messages: DataFrame) -> DataFrame:
         .when(F.col("user.login.uuid").isNull(), "no user_id")
         .when(F.col("ingestion_timestamp").isNull(), "no ingestion_time")
     )
-    return (
-        rows.select(*carried, "pos", reason.alias("reason"), "value")
-        .where("reason IS NOT NULL")
-    )
+    rows = rows.select(*carried, "pos", reason.alias("reason"), "value")
+    return rows.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
+
+def quarantine(messages: DataFrame) -> DataFrame:
+    """What a keyed table cannot hold, with the reason and the whole message text.
+
+    One row per keyless user, and one per message that yields no user at all.
+    The usable rows and these together account for every message.
+    """
+    return classified(messages).where("reason IS NOT NULL")

@@ -79,14 +79,9 @@ def tallies(users: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.sum("age").alias("age_sum"),
         F.count("age").alias("age_n"),
-        F.max("ingestion_time").alias("last_update"),
     )
 
 
-def total_from_tallies(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_users"))
-
-
 def genders_from_tallies(rows: DataFrame) -> DataFrame:
     return rows.groupBy("gender").agg(F.sum("n").alias("count"))
 
@@ -98,7 +93,6 @@ def countries_from_tallies(rows: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("count_users"),
             F.try_divide(F.sum("age_sum"), F.sum("age_n")).alias("avg_age"),
-            F.max("last_update").alias("last_update"),
         )
     )
 

@@ -23,17 +23,19 @@ class Dashboard:
     comes from a few stored rows, so a refresh costs the same at any table size.
     """
 
-    def __init__(self, spark: SparkSession, tallies_path: str, latest_path: str):
+    def __init__(self, spark: SparkSession, tallies_path: str, latest_path: str | None = None):
         self.tallies = tallies_table(spark, tallies_path)
-        self.latest = LatestUsers(spark, latest_path)
+        self.latest = LatestUsers(spark, latest_path) if latest_path else None
 
     def refresh(self, limit: int = LISTING_DEFAULT) -> dict[str, DataFrame]:
         snapshot = self.tallies.read_latest()
         stats = countries_from_tallies(snapshot)
-        return {
+        frames = {
             "kpis": kpis_from_tallies(snapshot),
             "top_countries": top_countries(stats),
             "top_age_countries": top_age_countries(stats),
             "gender_share": gender_share(genders_from_tallies(snapshot)),
-            "latest_users": user_listing(self.latest.read(limit)),
         }
+        if self.latest:
+            frames["latest_users"] = user_listing(self.latest.read(limit))
+        return frames

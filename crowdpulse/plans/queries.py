@@ -18,7 +18,7 @@ from crowdpulse.functions import epoch_to_time, refresh_text, utc_ntz
 from crowdpulse.operators import listings, stats
 from crowdpulse.operators.cadence import poll_at_cadence
 from crowdpulse.operators.keyed import first_arrival, last_write
-from crowdpulse.operators.messages import flatten_users, parse_flat, quarantine, text_of, usable
+from crowdpulse.operators.messages import classified, flatten_users, parse_flat, text_of
 from crowdpulse.plans import fixture
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USER_COLUMNS
@@ -31,7 +31,7 @@ from crowdpulse.streaming.aggregates import (
     start_tallies,
 )
 from crowdpulse.streaming.run import DRAIN, await_all, drain, start_shared_fan_out
-from crowdpulse.streaming.sinks import Sink, append_sink, debug_sink, keyed_sink
+from crowdpulse.streaming.sinks import LatestUsers, Sink, append_sink, debug_sink, keyed_sink
 
 log = logging.getLogger(__name__)
 
@@ -167,10 +167,8 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelopes = fixture.messages(holed).select("value")
     documents = fixture.table(spark, sf_dir, "documents")
     mixed = envelopes.unionAll(documents.select(F.col("text").cast("binary").alias("value")))
-    bad = quarantine(mixed).select("reason")
-    good = usable(flatten_users(mixed, ("user_id", "ingestion_time")))
-    rows = bad.unionAll(good.select(F.lit("usable").alias("reason")))
-    return rows.groupBy("reason").agg(F.count("*").alias("n"))
+    reason = F.coalesce("reason", F.lit("usable")).alias("reason")
+    return classified(mixed).groupBy(reason).agg(F.count("*").alias("n"))
 
 
 # --- publishing -------------------------------------------------------------
@@ -382,25 +380,22 @@ def country_stats_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats_edge(country_stats_table(spark, path).read_latest())
 
 
-def _dashboard(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Topic -> tallies and newest users -> all frames of one refresh."""
-    tallies, latest = new_folder(spark, "tallies"), new_folder(spark, "latest")
-    progress = new_folder(spark, "progress")
-    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "dashboard")
-    counted = flatten_users(_stream(spark, topic), ("country", "gender", "age", "ingestion_time"))
-    await_all([start_tallies(counted, tallies, f"{progress}/tallies", DRAIN)])
-    listed = flatten_users(_stream(spark, topic), with_arrival=True)
-    drain(listed, [keyed_sink(new_folder(spark, "users"), latest)], progress)
-    return Dashboard(spark, tallies, latest).refresh()
-
-
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_dashboard(spark, sf_dir)["kpis"], "avg_age")
+    """Topic -> tallies snapshot -> the KPI row."""
+    path, progress = new_folder(spark, "tallies"), new_folder(spark, "progress")
+    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "tallies")
+    users = flatten_users(_stream(spark, topic), ("country", "gender", "age"))
+    await_all([start_tallies(users, path, progress, DRAIN)])
+    return _rounded(Dashboard(spark, path).refresh()["kpis"], "avg_age")
 
 
 def dashboard_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listing = _dashboard(spark, sf_dir)["latest_users"]
-    return _edge(listing, "Date d'ingestion")
+    """Topic -> users table with its newest rows carried along -> the listing."""
+    latest = new_folder(spark, "latest")
+    users = _user_stream(spark, sf_dir, "latest")
+    sink = keyed_sink(new_folder(spark, "users"), latest)
+    drain(users, [sink], new_folder(spark, "progress"))
+    return _edge(listings.user_listing(LatestUsers(spark, latest).read()), "Date d'ingestion")
 
 
 QUERIES: dict[str, Query] = {

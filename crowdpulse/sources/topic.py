@@ -13,6 +13,9 @@ from crowdpulse.schemas import MESSAGE
 KAFKA_READ = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 KAFKA_WRITE = {"kafka.acks": "all", "kafka.retries": "3"}
 
+# A backlog of files is taken in by micro-batches of at most 1 TiB.
+FILE_READ = {"maxBytesPerTrigger": str(1 << 40)}
+
 
 def _reader(reader, fmt: str, options: dict[str, str] | None):
     reader = reader.format(fmt)
@@ -24,11 +27,11 @@ def _reader(reader, fmt: str, options: dict[str, str] | None):
 def message_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None = None) -> DataFrame:
     """An unbounded message scan.
 
-    Useful options at scale: `minPartitions` and `maxOffsetsPerTrigger` for
-    Kafka (a topic with few partitions else limits the parse to few tasks),
-    `maxBytesPerTrigger` for files.
+    For Kafka at scale set `minPartitions` (a topic with few partitions else
+    limits the parse to few tasks) and `maxOffsetsPerTrigger`.
     """
-    return _reader(spark.readStream, fmt, options).load()
+    limits = {} if fmt == "kafka" else FILE_READ
+    return _reader(spark.readStream, fmt, {**limits, **(options or {})}).load()
 
 
 def message_batch(spark: SparkSession, fmt: str, options: dict[str, str] | None = None) -> DataFrame:

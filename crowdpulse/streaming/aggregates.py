@@ -20,7 +20,6 @@ TALLIES = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("age_sum", T.LongType()),
         T.StructField("age_n", T.LongType()),
-        T.StructField("last_update", T.TimestampType()),
     ]
 )
 
