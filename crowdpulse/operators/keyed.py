@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +33,6 @@ def first_arrival(log: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame
     return _pick(log, order, F.min_by)
 
 
-def _first_in_batch(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        places = pa.array(np.arange(batch.num_rows))
-        table = pa.Table.from_batches([batch]).select(keys).append_column("place", places)
-        first = table.group_by(keys, use_threads=False).aggregate([("place", "min")])
-        yield batch.take(first["place_min"].combine_chunks().sort())
-
-
 def thin_replays(users: DataFrame) -> DataFrame:
     """Keeps the first copy of a key within each Arrow batch, without a shuffle.
 
@@ -49,7 +40,17 @@ def thin_replays(users: DataFrame) -> DataFrame:
     key meet in one task. This cuts them down before that shuffle. It only ever
     drops a row whose key stays in the same batch.
     """
-    return users.mapInArrow(partial(_first_in_batch, keys=list(USER_KEY)), users.schema)
+    keys = list(USER_KEY)
+
+    # Nested, so that it travels by value and executors need not have the package.
+    def first_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = pa.array(np.arange(batch.num_rows))
+            table = pa.Table.from_batches([batch]).select(keys).append_column("place", places)
+            first = table.group_by(keys, use_threads=False).aggregate([("place", "min")])
+            yield batch.take(first["place_min"].combine_chunks().sort())
+
+    return users.mapInArrow(first_per_key, users.schema)
 
 
 def drop_replays(users: DataFrame, horizon: str) -> DataFrame:

@@ -13,6 +13,8 @@ STATE_STORE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting all keys costs a lookup per write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 DEFAULTS = {
