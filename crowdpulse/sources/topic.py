@@ -30,8 +30,10 @@ def message_stream(spark: SparkSession, fmt: str, options: dict[str, str] | None
     For Kafka at scale set `minPartitions` (a topic with few partitions else
     limits the parse to few tasks) and `maxOffsetsPerTrigger`.
     """
-    limits = {} if fmt == "kafka" else FILE_READ
-    return _reader(spark.readStream, fmt, {**limits, **(options or {})}).load()
+    options = dict(options or {})
+    if fmt != "kafka" and "maxFilesPerTrigger" not in options:
+        options = {**FILE_READ, **options}
+    return _reader(spark.readStream, fmt, options).load()
 
 
 def message_batch(spark: SparkSession, fmt: str, options: dict[str, str] | None = None) -> DataFrame:
