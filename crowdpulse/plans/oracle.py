@@ -82,7 +82,7 @@ _OVER_USERS = {
         FROM stats HAVING count(*) > 0
     """,
     "kpi_empty_guard": """
-        SELECT avg(age) AS avg_age FROM users WHERE country IS NULL HAVING count(*) > 0
+        SELECT round(avg(age), 6) AS avg_age FROM users WHERE country IS NULL HAVING count(*) > 0
     """,
     "top_countries": """
         SELECT country, count_users FROM stats ORDER BY count_users DESC, country LIMIT 10

@@ -88,9 +88,9 @@ def src_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users_table = UsersTable(spark, new_folder(spark, "users"))
-    messages = fixture.messages(fixture.user_feed(spark, sf_dir))
-    arrival = messages.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("long")})
-    users_table.append(flatten_users(arrival, with_arrival=True), 0)
+    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "scan")
+    messages = message_batch(spark, "parquet", {"path": topic})
+    users_table.append(flatten_users(messages, with_arrival=True), 0)
     return _users_edge(users_table.current())
 
 
