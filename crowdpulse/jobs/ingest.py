@@ -55,8 +55,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     bad = quarantine_sink(f"{tables}/quarantine")
     queries.append(start_sink(quarantine(messages), bad, progress, trigger))
 
-    key = ("user_id",) if args.replay_horizon else ()
-    counted = flatten_users(messages, (*key, "country", "gender", "age", "ingestion_time"))
+    counted = flatten_users(messages, ("user_id", "country", "gender", "age", "ingestion_time"))
     refresh = DRAIN if args.drain else every(args.refresh)
     for name, starter in (("country_stats", start_country_stats), ("tallies", start_tallies)):
         path, checkpoint = f"{tables}/{name}", f"{progress}/{name}"

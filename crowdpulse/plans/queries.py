@@ -22,6 +22,7 @@ from crowdpulse.operators.messages import classified, flatten_users, parse_flat,
 from crowdpulse.plans import fixture
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USER_COLUMNS
+from crowdpulse.session import input_bytes, raise_shuffle_partitions
 from crowdpulse.sources.scratch import new_folder
 from crowdpulse.sources.tables import BatchFolders, UsersTable, create_tables
 from crowdpulse.sources.topic import message_batch, message_stream, publish, publish_to_files
@@ -363,7 +364,7 @@ def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, progress = new_folder(spark, "country-stats"), new_folder(spark, "progress")
     topic = _topic(spark, fixture.user_feed(spark, sf_dir), "stats")
-    users = flatten_users(_stream(spark, topic), ("country", "age", "ingestion_time"))
+    users = flatten_users(_stream(spark, topic), ("user_id", "country", "age", "ingestion_time"))
     await_all([start_country_stats(users, path, progress, DRAIN)])
     return _stats_edge(country_stats_table(spark, path).read_latest())
 
@@ -384,7 +385,8 @@ def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic -> tallies snapshot -> the KPI row."""
     path, progress = new_folder(spark, "tallies"), new_folder(spark, "progress")
     topic = _topic(spark, fixture.user_feed(spark, sf_dir), "tallies")
-    users = flatten_users(_stream(spark, topic), ("country", "gender", "age"))
+    columns = ("user_id", "country", "gender", "age", "ingestion_time")
+    users = flatten_users(_stream(spark, topic), columns)
     await_all([start_tallies(users, path, progress, DRAIN)])
     return _rounded(Dashboard(spark, path).refresh()["kpis"], "avg_age")
 
@@ -398,7 +400,7 @@ def dashboard_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edge(listings.user_listing(LatestUsers(spark, latest).read()), "Date d'ingestion")
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "src_message_stream": src_message_stream,
     "scan_users": scan_users,
     "scan_country_stats": scan_country_stats,
@@ -447,6 +449,19 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _sized(query: Query) -> Query:
+    """Sees to it that the session's shuffles are wide enough for the users at hand."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raise_shuffle_partitions(spark, input_bytes(spark, f"{sf_dir}/customer.parquet"))
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _sized(query) for name, query in _QUERIES.items()}
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes -> users -> country statistics -> top ten countries."""
     messages = fixture.messages(fixture.user_feed(spark, sf_dir))

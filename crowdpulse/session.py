@@ -30,7 +30,8 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     """A session with the defaults above; `settings` wins over them.
 
     `spark.sql.shuffle.partitions` is left to the submitter: a stateful query
-    keeps the value of its first start for ever, so choose it for the cluster.
+    keeps the value of its first start for ever, so choose it for the cluster,
+    or for the data with `raise_shuffle_partitions`.
     """
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **STATE_STORE, **(settings or {})}.items():
@@ -38,6 +39,34 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     return builder.getOrCreate()
 
 
+# Users as parquet are about a fifth of their shuffled JSON text.
+INPUT_PER_PARTITION = 32 << 20
+MOST_PARTITIONS = 50_000
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system's own records."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.getContentSummary(target).getLength()
+
+
+def raise_shuffle_partitions(spark: SparkSession, size: int) -> int:
+    """Enough shuffle partitions for `size` bytes of input; never fewer than are set.
+
+    Adaptive execution merges partitions that turn out small but never splits
+    an aggregate's, and stateful streams do neither. So the number is raised
+    with the data before planning.
+    """
+    key = "spark.sql.shuffle.partitions"
+    present = int(spark.conf.get(key))
+    wanted = min(-(-size // INPUT_PER_PARTITION), MOST_PARTITIONS)
+    if wanted > present:
+        spark.conf.set(key, wanted)
+    return max(wanted, present)
+
+
 @contextmanager
 def disk_backed_state(spark: SparkSession) -> Iterator[None]:
     """Start stateful queries inside this block: they copy the settings at start."""

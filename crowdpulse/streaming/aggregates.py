@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.operators.keyed import drop_replays
+from crowdpulse.operators.messages import usable
 from crowdpulse.operators.stats import country_stats, tallies
 from crowdpulse.schemas import COUNTRY_STATS, REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
 from crowdpulse.session import disk_backed_state
@@ -46,11 +47,12 @@ def start_country_stats(
 ) -> StreamingQuery:
     """Country statistics over a stream; one snapshot per micro-batch.
 
-    Counts every arriving row, or, with `replay_horizon`, the first arrival of
-    each key. A replay that *changes* a row does not change these numbers; where
-    that matters compute `country_stats` over the users table.
+    Counts every arriving row the users table can hold, or, with
+    `replay_horizon`, the first arrival of each key. A replay that *changes* a
+    row does not change these numbers; where that matters compute
+    `country_stats` over the users table.
     """
-    rows = drop_replays(users, replay_horizon) if replay_horizon else users
+    rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
     return _start_snapshots(country_stats(rows), COUNTRY_STATS, path, checkpoint, trigger)
 
 
@@ -58,7 +60,7 @@ def start_tallies(
     users: DataFrame, path: str, checkpoint: str, trigger: dict, replay_horizon: str | None = None
 ) -> StreamingQuery:
     """The tallies every KPI derives from; state grows with countries, not with users."""
-    rows = drop_replays(users, replay_horizon) if replay_horizon else users
+    rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
     return _start_snapshots(tallies(rows), TALLIES, path, checkpoint, trigger)
 
 

@@ -5,7 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from crowdpulse.jobs import dashboard, ingest, publish
+from crowdpulse.jobs import compact, dashboard, ingest, publish
+from crowdpulse.session import (
+    INPUT_PER_PARTITION,
+    MOST_PARTITIONS,
+    input_bytes,
+    raise_shuffle_partitions,
+)
 from crowdpulse.sources.tables import UsersTable
 from crowdpulse.sources.topic import message_batch, publish_to_files
 from crowdpulse.streaming.aggregates import country_stats_table
@@ -43,6 +49,8 @@ def test_ingest_then_dashboard(spark, topic, folder, horizon):
         ingest.run(spark, args)
     assert spark.read.json(folder("documents")).count() == 95
     assert UsersTable(spark, f"{folder('tables')}/users").current().count() == 95
+    compact.run(spark, compact.parse(["--tables", folder("tables")]))
+    assert UsersTable(spark, f"{folder('tables')}/users").current().count() == 95
     stats = country_stats_table(spark, f"{folder('tables')}/country_stats").read_latest()
     assert {r.country: r.count_users for r in stats.collect()} == {"C0": 24, "C1": 24, "C2": 24, "C3": 23}
 
@@ -58,3 +66,17 @@ def test_dashboard_checks_its_controls(spark, folder):
         dashboard.run(spark, dashboard.parse(["--tables", folder("t"), "--refresh", "2"]))
     with pytest.raises(ValueError):
         dashboard.run(spark, dashboard.parse(["--tables", folder("t"), "--limit", "60", "--ticks", "1"]))
+
+
+def test_shuffle_partitions_follow_the_input(spark, folder):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        assert raise_shuffle_partitions(spark, 1) == int(before)
+        assert raise_shuffle_partitions(spark, 100 * INPUT_PER_PARTITION + 1) == 101
+        assert spark.conf.get(key) == "101"
+        assert raise_shuffle_partitions(spark, 1 << 60) == MOST_PARTITIONS
+    finally:
+        spark.conf.set(key, before)
+    spark.range(10).write.parquet(folder("ten"))
+    assert input_bytes(spark, folder("ten")) > 0
