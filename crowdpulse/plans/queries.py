@@ -8,7 +8,9 @@ real sources and sinks, and return what was stored.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from crowdpulse.plans import fixture
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USER_COLUMNS
 from crowdpulse.session import input_bytes, raise_shuffle_partitions
-from crowdpulse.sources.scratch import new_folder
+from crowdpulse.sources.scratch import discard, new_folder
 from crowdpulse.sources.tables import BatchFolders, UsersTable, create_tables
 from crowdpulse.sources.topic import message_batch, message_stream, publish, publish_to_files
 from crowdpulse.streaming.aggregates import (
@@ -62,18 +64,29 @@ def _stats_edge(df: DataFrame) -> DataFrame:
 # --- staged topics ----------------------------------------------------------
 
 
-def _topic(spark: SparkSession, feed: DataFrame, label: str) -> str:
-    path = new_folder(spark, f"topic-{label}")
+def _topic(spark: SparkSession, feed: DataFrame) -> str:
+    path = new_folder(spark, "topic")
     publish_to_files(fixture.messages(feed), path)
     return path
 
 
-def _stream(spark: SparkSession, topic: str, options: dict[str, str] | None = None) -> DataFrame:
-    return message_stream(spark, "parquet", {"path": topic, **(options or {})})
+def _stream(spark: SparkSession, topic: str) -> DataFrame:
+    return message_stream(spark, "parquet", {"path": topic})
 
 
-def _user_stream(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    topic = _topic(spark, fixture.user_feed(spark, sf_dir), label)
+@contextmanager
+def _staged(spark: SparkSession, sf_dir: str) -> Iterator[tuple[str, str]]:
+    """A topic of all users and a folder for progress, both gone once drained."""
+    topic = _topic(spark, fixture.user_feed(spark, sf_dir))
+    progress = new_folder(spark, "progress")
+    try:
+        yield topic, progress
+    finally:
+        discard(spark, topic)
+        discard(spark, progress)
+
+
+def _user_stream(spark: SparkSession, topic: str) -> DataFrame:
     return flatten_users(_stream(spark, topic), with_arrival=True)
 
 
@@ -82,16 +95,17 @@ def _user_stream(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 def src_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "users")
-    stored = _user_stream(spark, sf_dir, "source")
-    drain(stored, [append_sink("parquet", {"path": out})], new_folder(spark, "progress"))
-    return _users_edge(spark.read.schema(stored.schema).parquet(out))
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic)
+        drain(users, [append_sink("parquet", {"path": out})], progress)
+    return _users_edge(spark.read.schema(users.schema).parquet(out))
 
 
 def scan_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users_table = UsersTable(spark, new_folder(spark, "users"))
-    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "scan")
-    messages = message_batch(spark, "parquet", {"path": topic})
-    users_table.append(flatten_users(messages, with_arrival=True), 0)
+    with _staged(spark, sf_dir) as (topic, _):
+        messages = message_batch(spark, "parquet", {"path": topic})
+        users_table.append(flatten_users(messages, with_arrival=True), 0)
     return _users_edge(users_table.current())
 
 
@@ -238,22 +252,22 @@ def refresh_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keyed tables -----------------------------------------------------------
 
 
-def _two_rounds(spark: SparkSession, sf_dir: str, years_older: int, label: str) -> DataFrame:
-    """The users published, then published again (`years_older`) at higher offsets."""
+def _two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users published, then published a year older at higher offsets."""
     feed = fixture.user_feed(spark, sf_dir)
-    topic = _topic(spark, feed, label)
-    again = feed.withColumn("age", F.col("age") + years_older)
+    topic = _topic(spark, feed)
+    again = feed.withColumn("age", F.col("age") + 1)
     publish_to_files(fixture.messages(again), topic, first_offset=SECOND_ROUND)
     messages = message_batch(spark, "parquet", {"path": topic})
     return flatten_users(messages, with_arrival=True)
 
 
 def users_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _users_edge(last_write(_two_rounds(spark, sf_dir, 1, "upsert")))
+    return _users_edge(last_write(_two_rounds(spark, sf_dir)))
 
 
 def dedup_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _users_edge(first_arrival(_two_rounds(spark, sf_dir, 1, "replay")))
+    return _users_edge(first_arrival(_two_rounds(spark, sf_dir)))
 
 
 # --- streaming sinks --------------------------------------------------------
@@ -261,61 +275,63 @@ def dedup_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = new_folder(spark, "debug")
-    users = _user_stream(spark, sf_dir, "debug").select(*STORED)
-    sink = debug_sink(echo=log.debug, copy_to=copy)
-    drain(users, [sink], new_folder(spark, "progress"))
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic).select(*STORED)
+        drain(users, [debug_sink(echo=log.debug, copy_to=copy)], progress)
     return _batches(spark, users, copy)
 
 
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as JSON lines."""
     out = new_folder(spark, "documents")
-    users = _user_stream(spark, sf_dir, "append")
-    drain(users, [append_sink("json", {"path": out})], new_folder(spark, "progress"))
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic)
+        drain(users, [append_sink("json", {"path": out})], progress)
     return spark.read.schema(users.schema).json(out).select(*STORED)
 
 
 def sink_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "users")
-    users = _user_stream(spark, sf_dir, "keyed")
-    drain(users, [keyed_sink(path)], new_folder(spark, "progress"))
+    with _staged(spark, sf_dir) as (topic, progress):
+        drain(_user_stream(spark, topic), [keyed_sink(path)], progress)
     return UsersTable(spark, path).current().select(*STORED)
 
 
-def sink_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three sinks on one stream, each a query with its own checkpoint."""
-    users = _user_stream(spark, sf_dir, "fanout")
+def _three_sinks(spark: SparkSession, sf_dir: str, start) -> DataFrame:
+    """Rows stored by a debug, an append and a keyed sink on one stream."""
     paths = {name: new_folder(spark, name) for name in ("debug", "append", "keyed")}
     sinks = [
         debug_sink(echo=log.debug, copy_to=paths["debug"]),
         append_sink("json", {"path": paths["append"]}),
         keyed_sink(paths["keyed"]),
     ]
-    drain(users, sinks, new_folder(spark, "progress"))
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic)
+        start(users, sinks, progress)
     stored = {
         "debug": _batches(spark, users, paths["debug"]),
         "append": spark.read.schema(users.schema).json(paths["append"]),
         "keyed": UsersTable(spark, paths["keyed"]).current(),
     }
-    return _counts(stored)
+    counts = [
+        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n")
+        for name, rows in stored.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def sink_fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three queries, each with its own checkpoint."""
+    return _three_sinks(spark, sf_dir, drain)
 
 
 def sink_shared_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same three sinks fed by one query that reads and parses once."""
-    users = _user_stream(spark, sf_dir, "shared")
-    paths = {name: new_folder(spark, name) for name in ("debug", "append", "keyed")}
-    sinks = [
-        debug_sink(echo=log.debug, copy_to=paths["debug"]),
-        append_sink("json", {"path": paths["append"]}),
-        keyed_sink(paths["keyed"]),
-    ]
-    await_all([start_shared_fan_out(users, sinks, new_folder(spark, "progress"), DRAIN)])
-    stored = {
-        "debug": _batches(spark, users, paths["debug"]),
-        "append": spark.read.schema(users.schema).json(paths["append"]),
-        "keyed": UsersTable(spark, paths["keyed"]).current(),
-    }
-    return _counts(stored)
+    """One query that reads and parses once for all three."""
+
+    def start(users: DataFrame, sinks: list[Sink], progress: str) -> None:
+        await_all([start_shared_fan_out(users, sinks, progress, DRAIN)])
+
+    return _three_sinks(spark, sf_dir, start)
 
 
 def _batches(spark: SparkSession, like: DataFrame, path: str) -> DataFrame:
@@ -323,24 +339,12 @@ def _batches(spark: SparkSession, like: DataFrame, path: str) -> DataFrame:
     return folders.read(folders.complete()).drop("batch_id")
 
 
-def _counts(stored: dict[str, DataFrame]) -> DataFrame:
-    counts = [
-        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n")
-        for name, rows in stored.items()
-    ]
-    first, *others = counts
-    for other in others:
-        first = first.unionAll(other)
-    return first
-
-
 def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sink that dies after its write and before its commit, then two restarts.
 
     The first restart runs the lost batch again, the second finds nothing new.
     """
-    path, progress = new_folder(spark, "users"), new_folder(spark, "progress")
-    users = _user_stream(spark, sf_dir, "restart")
+    path = new_folder(spark, "users")
     sink = keyed_sink(path)
     failures = iter([True])
 
@@ -349,12 +353,14 @@ def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         if next(failures, False):
             raise RuntimeError("stopped between write and commit, on purpose")
 
-    try:
-        drain(users, [Sink(sink.name, write_then_die)], progress)
-    except StreamingQueryException:
-        log.info("first run stopped as intended")
-    drain(users, [sink], progress)
-    drain(users, [sink], progress)
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic)
+        try:
+            drain(users, [Sink(sink.name, write_then_die)], progress)
+        except StreamingQueryException:
+            log.info("first run stopped as intended")
+        drain(users, [sink], progress)
+        drain(users, [sink], progress)
     return UsersTable(spark, path).entries().select(*STORED)
 
 
@@ -362,41 +368,43 @@ def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, progress = new_folder(spark, "country-stats"), new_folder(spark, "progress")
-    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "stats")
-    users = flatten_users(_stream(spark, topic), ("user_id", "country", "age", "ingestion_time"))
-    await_all([start_country_stats(users, path, progress, DRAIN)])
+    path = new_folder(spark, "country-stats")
+    with _staged(spark, sf_dir) as (topic, progress):
+        columns = ("user_id", "country", "age", "ingestion_time")
+        users = flatten_users(_stream(spark, topic), columns)
+        await_all([start_country_stats(users, path, progress, DRAIN)])
     return _stats_edge(country_stats_table(spark, path).read_latest())
 
 
 def country_stats_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a topic that is published again in between: the replay changes nothing."""
-    path, progress = new_folder(spark, "country-stats"), new_folder(spark, "progress")
-    feed = fixture.user_feed(spark, sf_dir)
-    topic = _topic(spark, feed, "replayed")
-    users = flatten_users(_stream(spark, topic), ("user_id", "country", "age", "ingestion_time"))
-    await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
-    publish_to_files(fixture.messages(feed), topic, first_offset=SECOND_ROUND)
-    await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
+    path = new_folder(spark, "country-stats")
+    with _staged(spark, sf_dir) as (topic, progress):
+        columns = ("user_id", "country", "age", "ingestion_time")
+        users = flatten_users(_stream(spark, topic), columns)
+        await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
+        replay = fixture.messages(fixture.user_feed(spark, sf_dir))
+        publish_to_files(replay, topic, first_offset=SECOND_ROUND)
+        await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
     return _stats_edge(country_stats_table(spark, path).read_latest())
 
 
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic -> tallies snapshot -> the KPI row."""
-    path, progress = new_folder(spark, "tallies"), new_folder(spark, "progress")
-    topic = _topic(spark, fixture.user_feed(spark, sf_dir), "tallies")
-    columns = ("user_id", "country", "gender", "age", "ingestion_time")
-    users = flatten_users(_stream(spark, topic), columns)
-    await_all([start_tallies(users, path, progress, DRAIN)])
+    path = new_folder(spark, "tallies")
+    with _staged(spark, sf_dir) as (topic, progress):
+        columns = ("user_id", "country", "gender", "age", "ingestion_time")
+        users = flatten_users(_stream(spark, topic), columns)
+        await_all([start_tallies(users, path, progress, DRAIN)])
     return _rounded(Dashboard(spark, path).refresh()["kpis"], "avg_age")
 
 
 def dashboard_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic -> users table with its newest rows carried along -> the listing."""
     latest = new_folder(spark, "latest")
-    users = _user_stream(spark, sf_dir, "latest")
-    sink = keyed_sink(new_folder(spark, "users"), latest)
-    drain(users, [sink], new_folder(spark, "progress"))
+    with _staged(spark, sf_dir) as (topic, progress):
+        sink = keyed_sink(new_folder(spark, "users"), latest)
+        drain(_user_stream(spark, topic), [sink], progress)
     return _edge(listings.user_listing(LatestUsers(spark, latest).read()), "Date d'ingestion")
 
 

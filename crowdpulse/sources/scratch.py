@@ -25,3 +25,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name; writers create it."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder this package wrote; nothing happens if it is not there."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

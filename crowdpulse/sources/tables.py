@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from crowdpulse.operators.keyed import last_write
 from crowdpulse.operators.messages import usable
 from crowdpulse.schemas import ARRIVAL, COUNTRY_STATS, USER_COLUMNS, USERS
+from crowdpulse.sources.scratch import discard
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -53,6 +54,9 @@ class BatchFolders:
         names = [file.getPath().getParent().getName() for file in files or []]
         return sorted(int(name.split("=")[1]) for name in names)
 
+    def remove(self, batch_id: int) -> None:
+        discard(self.spark, self.folder(batch_id))
+
     def read(self, batch_ids: list[int]) -> DataFrame:
         """The rows of these batches, with their `batch_id`."""
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
@@ -63,7 +67,22 @@ class BatchFolders:
 
 
 class SnapshotTable(BatchFolders):
-    """Each batch is the whole table; the newest finished one counts."""
+    """Each batch is the whole table; the newest finished one counts.
+
+    With `keep`, a write removes the snapshot that many batches back: a refresh
+    every ten seconds would else make every listing longer for ever.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, keep: int | None = None
+    ):
+        super().__init__(spark, path, schema)
+        self.keep = keep
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        super().write(df, batch_id)
+        if self.keep and batch_id >= self.keep:
+            self.remove(batch_id - self.keep)
 
     def latest_id(self, before: int | None = None) -> int | None:
         ids = [i for i in self.complete() if before is None or i < before]
@@ -80,6 +99,7 @@ ARRIVAL_FIELDS = [
     T.StructField("pos", T.IntegerType()),
 ]
 USERS_LOG = T.StructType([*USERS.fields, *ARRIVAL_FIELDS])
+SNAPSHOTS_KEPT = 100
 WRITE_ORDER = ("batch_id", *ARRIVAL)
 
 
@@ -114,7 +134,20 @@ class UsersTable:
         return last_write(self.entries(), WRITE_ORDER).select(*USER_COLUMNS)
 
     def compact(self) -> None:
-        ids = self.log.complete()
-        if ids:
-            resolved = last_write(self.entries(), WRITE_ORDER)
-            self.base.write(resolved.withColumnRenamed("batch_id", "written"), ids[-1])
+        """Writes a new base; what the base before it had folded in is removed.
+
+        One round late, so that a read that began on the old base still finds
+        its files.
+        """
+        ids, folded = self.log.complete(), self.base.latest_id()
+        if not ids or ids[-1] == folded:
+            return
+        resolved = last_write(self.entries(), WRITE_ORDER)
+        self.base.write(resolved.withColumnRenamed("batch_id", "written"), ids[-1])
+        if folded is not None:
+            for batch_id in ids:
+                if batch_id <= folded:
+                    self.log.remove(batch_id)
+            for batch_id in self.base.complete():
+                if batch_id < folded:
+                    self.base.remove(batch_id)

@@ -11,7 +11,7 @@ from crowdpulse.operators.messages import usable
 from crowdpulse.operators.stats import country_stats, tallies
 from crowdpulse.schemas import COUNTRY_STATS, REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
 from crowdpulse.session import disk_backed_state
-from crowdpulse.sources.tables import SnapshotTable
+from crowdpulse.sources.tables import SNAPSHOTS_KEPT, SnapshotTable
 from crowdpulse.streaming.run import stream_writer
 
 TALLIES = T.StructType(
@@ -36,7 +36,8 @@ def _start_snapshots(
     aggregate: DataFrame, schema: T.StructType, path: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        SnapshotTable(batch.sparkSession, path, schema).write(batch, batch_id)
+        table = SnapshotTable(batch.sparkSession, path, schema, keep=SNAPSHOTS_KEPT)
+        table.write(batch, batch_id)
 
     with disk_backed_state(aggregate.sparkSession):
         return stream_writer(aggregate, "complete", checkpoint, trigger).foreachBatch(write).start()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from crowdpulse.operators.listings import latest_of_log, latest_users
 from crowdpulse.schemas import LISTING_DEFAULT, LISTING_MAX
 from crowdpulse.sources.tables import (
+    SNAPSHOTS_KEPT,
     USERS_LOG,
     WRITE_ORDER,
     BatchFolders,
@@ -94,7 +95,8 @@ class LatestUsers:
 
     def __init__(self, spark: SparkSession, path: str):
         written = T.StructField("written", T.LongType())
-        self.table = SnapshotTable(spark, path, T.StructType([*USERS_LOG.fields, written]))
+        schema = T.StructType([*USERS_LOG.fields, written])
+        self.table = SnapshotTable(spark, path, schema, keep=SNAPSHOTS_KEPT)
 
     def advance(self, users: UsersTable, batch_id: int) -> None:
         # Reads the stored batch, so the messages are not parsed again.

@@ -93,7 +93,22 @@ def test_compaction_changes_no_result_and_later_writes_still_win(spark, folder):
     assert ages(table.current()) == before
     assert table.entries().count() == 2
     table.append(log_of(spark, entry("b", 7, 4)), 2)
-    assert ages(table.current()) == {("a", T0): 3, ("b", T0): 7}
+    want = {("a", T0): 3, ("b", T0): 7}
+    assert ages(table.current()) == want
+    # The next round removes what the first one had folded in, and no more.
+    assert table.log.complete() == [0, 1, 2]
+    for _ in range(2):
+        table.compact()
+        assert ages(table.current()) == want
+        assert (table.log.complete(), table.base.complete()) == ([2], [1, 2])
+
+
+def test_old_snapshots_are_removed(spark, folder):
+    table = SnapshotTable(spark, folder("stats"), COUNTRY_STATS, keep=2)
+    for batch_id in range(5):
+        table.write(spark.createDataFrame([("FR", batch_id, 2.0, T0)], COUNTRY_STATS), batch_id)
+    assert table.complete() == [3, 4]
+    assert table.read_latest().first().count_users == 4
 
 
 def test_unfinished_batches_are_not_read(spark, folder):
