@@ -3,6 +3,8 @@
     spark-submit --packages <connectors> --py-files crowdpulse.zip crowdpulse/jobs/ingest.py \\
         --source-option kafka.bootstrap.servers=broker:9092 --source-option subscribe=users \\
         --documents-format mongodb --documents-option connection.uri=... \\
+        --table-format org.apache.spark.sql.cassandra \\
+        --table-option keyspace=analytics --table-option table=users \\
         --tables s3a://bucket/users --checkpoints s3a://bucket/progress
 
 Every query has its own checkpoint. The job ends when one of them does, and
@@ -24,13 +26,21 @@ from crowdpulse.session import build_session
 from crowdpulse.sources.topic import message_stream
 from crowdpulse.streaming.aggregates import every, start_country_stats, start_tallies
 from crowdpulse.streaming.run import DRAIN, await_all, await_any, start_fan_out, start_sink
-from crowdpulse.streaming.sinks import append_sink, debug_sink, keyed_sink, quarantine_sink
+from crowdpulse.streaming.sinks import (
+    append_sink,
+    debug_sink,
+    documents,
+    keyed_rows,
+    keyed_sink,
+    quarantine_sink,
+)
 
 
 def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Take in user messages")
     add_format(parser, "source", "kafka")
     add_format(parser, "documents", None)
+    add_format(parser, "table", None)
     parser.add_argument("--tables", required=True, help="folder of the users table and snapshots")
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--refresh", type=int, default=REFRESH_DEFAULT, help="seconds, 5..60")
@@ -45,8 +55,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     users = flatten_users(messages, with_arrival=True)
     tables, progress = args.tables.rstrip("/"), args.checkpoints.rstrip("/")
     sinks = [keyed_sink(f"{tables}/users", f"{tables}/latest")]
-    if args.documents_format:
-        sinks.append(append_sink(args.documents_format, pairs(args.documents_option)))
+    for name, fmt, options, prepare in (
+        ("documents", args.documents_format, args.documents_option, documents),
+        ("table", args.table_format, args.table_option, keyed_rows),
+    ):
+        if fmt:
+            sinks.append(append_sink(fmt, pairs(options), name, prepare))
     if args.debug:
         sinks.append(debug_sink())
     trigger = DRAIN if args.drain else None

@@ -22,7 +22,7 @@ def start_sink(
     df: DataFrame, sink: Sink, checkpoints: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """One append query with a checkpoint of its own; no trigger means as soon as possible."""
-    writer = stream_writer(df, "append", f"{checkpoints}/{sink.name}", trigger)
+    writer = stream_writer(sink.prepare(df), "append", f"{checkpoints}/{sink.name}", trigger)
     if sink.stream_format:
         return writer.format(sink.stream_format).options(**sink.options).start()
     return writer.foreachBatch(sink.write).start()
@@ -51,7 +51,7 @@ def start_shared_fan_out(
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for sink in sinks:
-                sink.write(batch, batch_id)
+                sink.write(sink.prepare(batch), batch_id)
         finally:
             batch.unpersist()
 

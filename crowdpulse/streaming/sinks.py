@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from crowdpulse.operators.listings import latest_of_log, latest_users
-from crowdpulse.schemas import LISTING_DEFAULT, LISTING_MAX
+from crowdpulse.operators.messages import usable
+from crowdpulse.schemas import LISTING_DEFAULT, LISTING_MAX, USER_COLUMNS
 from crowdpulse.sources.tables import (
     SNAPSHOTS_KEPT,
     USERS_LOG,
@@ -22,18 +23,33 @@ from crowdpulse.sources.tables import (
 FILE_FORMATS = ("parquet", "json", "orc", "csv")
 
 
+def _as_is(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def documents(users: DataFrame) -> DataFrame:
+    """The columns of the contract, for stores outside Spark."""
+    return users.select(*USER_COLUMNS)
+
+
+def keyed_rows(users: DataFrame) -> DataFrame:
+    """The same, without rows that lack a key column."""
+    return documents(usable(users))
+
+
 @dataclass(frozen=True)
 class Sink:
     """A named target of an append stream.
 
     `write` stores one micro-batch. With `stream_format` set, a query of its own
-    uses that streaming writer instead.
+    uses that streaming writer instead. `prepare` shapes the rows before either.
     """
 
     name: str
     write: Callable[[DataFrame, int], None]
     stream_format: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    prepare: Callable[[DataFrame], DataFrame] = _as_is
 
 
 def debug_sink(
@@ -60,8 +76,16 @@ def debug_sink(
     return Sink(name, write)
 
 
-def append_sink(fmt: str, options: dict[str, str], name: str = "append") -> Sink:
-    """Appends every row to a file folder or, by its connector's format, a document store."""
+def append_sink(
+    fmt: str,
+    options: dict[str, str],
+    name: str = "append",
+    prepare: Callable[[DataFrame], DataFrame] = _as_is,
+) -> Sink:
+    """Appends every row to a file folder or, by its connector's format, to a store.
+
+    A keyed store such as Cassandra overwrites a row whose key comes again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if fmt in FILE_FORMATS:
@@ -71,7 +95,7 @@ def append_sink(fmt: str, options: dict[str, str], name: str = "append") -> Sink
         else:
             batch.write.format(fmt).options(**options).mode("append").save()
 
-    return Sink(name, write, stream_format=fmt, options=options)
+    return Sink(name, write, stream_format=fmt, options=options, prepare=prepare)
 
 
 def keyed_sink(path: str, latest_path: str | None = None, name: str = "keyed") -> Sink:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crowdpulse.jobs import compact, dashboard, ingest, publish
+from crowdpulse.schemas import USERS
 from crowdpulse.session import (
     INPUT_PER_PARTITION,
     MOST_PARTITIONS,
@@ -43,11 +44,14 @@ def test_ingest_then_dashboard(spark, topic, folder, horizon):
     args = ingest.parse(
         ["--source-format", "parquet", "--source-option", f"path={topic}",
          "--documents-format", "json", "--documents-option", f"path={folder('documents')}",
+         "--table-format", "parquet", "--table-option", f"path={folder('external')}",
          "--tables", folder("tables"), "--checkpoints", folder("progress"), "--drain", *horizon]
     )
     for _ in range(2):
         ingest.run(spark, args)
-    assert spark.read.json(folder("documents")).count() == 95
+    stored = spark.read.json(folder("documents"))
+    assert stored.count() == 95 and set(stored.columns) == set(USERS.names)
+    assert spark.read.parquet(folder("external")).schema.simpleString() == USERS.simpleString()
     assert UsersTable(spark, f"{folder('tables')}/users").current().count() == 95
     compact.run(spark, compact.parse(["--tables", folder("tables")]))
     assert UsersTable(spark, f"{folder('tables')}/users").current().count() == 95
