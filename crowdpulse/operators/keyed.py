@@ -6,31 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.schemas import ARRIVAL, USER_KEY
 
 
-def _pick(rows: DataFrame, order: tuple[str, ...], pick) -> DataFrame:
-    rest = [name for name in rows.columns if name not in USER_KEY]
-    chosen = pick(F.struct(*rest), F.struct(*order)).alias("chosen")
-    picked = rows.groupBy(*USER_KEY).agg(chosen).select(*USER_KEY, "chosen.*")
-    return picked.select(*rows.columns)
+def _first_by(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """One copy per key. The limit of one is applied before the shuffle too, so that
+    a key written over and over sends a single row per task."""
+    place = F.row_number().over(Window.partitionBy(*USER_KEY).orderBy(*order))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def last_write(log: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
-    """The latest copy per key.
-
-    An aggregate rather than `row_number`: each task first keeps one copy per
-    key, so a key written over and over shuffles one row per task.
-    """
-    return _pick(log, order, F.max_by)
+    """The latest copy per key."""
+    return _first_by(log, [F.desc(name) for name in order])
 
 
 def first_arrival(log: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
-    """The earliest copy per key, with the same partial step."""
-    return _pick(log, order, F.min_by)
+    """The earliest copy per key."""
+    return _first_by(log, [F.asc(name) for name in order])
 
 
 def thin_replays(users: DataFrame) -> DataFrame:
