@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from crowdpulse.session import build_session, input_bytes, raise_shuffle_partitions
+from crowdpulse.session import build_session, input_bytes, size_shuffles
 from crowdpulse.sources.tables import UsersTable
 
 
@@ -24,7 +24,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     path = f"{args.tables.rstrip('/')}/users"
-    raise_shuffle_partitions(spark, input_bytes(spark, path))
+    size_shuffles(spark, input_bytes(spark, path))
     UsersTable(spark, path).compact()
 
 

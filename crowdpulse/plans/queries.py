@@ -24,7 +24,7 @@ from crowdpulse.operators.messages import classified, flatten_users, parse_flat,
 from crowdpulse.plans import fixture
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USER_COLUMNS
-from crowdpulse.session import input_bytes, raise_shuffle_partitions
+from crowdpulse.session import input_bytes, size_shuffles
 from crowdpulse.sources.scratch import discard, new_folder
 from crowdpulse.sources.tables import BatchFolders, UsersTable, create_tables
 from crowdpulse.sources.topic import message_batch, message_stream, publish, publish_to_files
@@ -457,17 +457,43 @@ _QUERIES: dict[str, Query] = {
 }
 
 
-def _sized(query: Query) -> Query:
-    """Sees to it that the session's shuffles are wide enough for the users at hand."""
+# Queries that shuffle whole users: they pack envelopes or resolve keys.
+_WIDE = {
+    "src_message_stream",
+    "scan_users",
+    "flatten_users",
+    "stamp_ingestion",
+    "full_name",
+    "quarantine",
+    "publish_envelopes",
+    "users_last_write",
+    "dedup_users",
+    "sink_debug",
+    "sink_append",
+    "sink_keyed",
+    "sink_fanout_counts",
+    "sink_shared_counts",
+    "restart_no_duplicates",
+    "country_stats_stream",
+    "country_stats_latest",
+    "dashboard_kpis",
+    "dashboard_latest",
+}
+
+
+def _sized(query: Query, wide: bool) -> Query:
+    """Sets the width of the session's shuffles for this query."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raise_shuffle_partitions(spark, input_bytes(spark, f"{sf_dir}/customer.parquet"))
+        size_shuffles(spark, input_bytes(spark, f"{sf_dir}/customer.parquet") if wide else 0)
         return query(spark, sf_dir)
 
     return run
 
 
-QUERIES: dict[str, Query] = {name: _sized(query) for name, query in _QUERIES.items()}
+QUERIES: dict[str, Query] = {
+    name: _sized(query, name in _WIDE) for name, query in _QUERIES.items()
+}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
 
     `spark.sql.shuffle.partitions` is left to the submitter: a stateful query
     keeps the value of its first start for ever, so choose it for the cluster,
-    or for the data with `raise_shuffle_partitions`.
+    or for the data with `size_shuffles`.
     """
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **STATE_STORE, **(settings or {})}.items():
@@ -42,6 +42,11 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
 # Users as parquet are about a fifth of their shuffled JSON text.
 INPUT_PER_PARTITION = 32 << 20
 MOST_PARTITIONS = 50_000
+# State of a few hundred groups needs no more tasks and files than this per batch.
+GROUP_STATE_PARTITIONS = 32
+
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_OWN_PARTITIONS = "spark.crowdpulse.own.shuffle.partitions"
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -52,27 +57,35 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(target).getLength()
 
 
-def raise_shuffle_partitions(spark: SparkSession, size: int) -> int:
-    """Enough shuffle partitions for `size` bytes of input; never fewer than are set.
+def size_shuffles(spark: SparkSession, size: int) -> int:
+    """Shuffle partitions for a query that shuffles `size` bytes of input; 0 for one that does not.
 
-    Adaptive execution merges partitions that turn out small but never splits
-    an aggregate's, and stateful streams do neither. So the number is raised
-    with the data before planning.
+    Adaptive execution merges small partitions but cannot add any for an
+    aggregate or a window, and stateful streams do not adapt at all, so a whole
+    table needs more of them before planning. A query that shuffles a row per
+    group does not: every map task would index partitions that stay empty. The
+    session's own number is the least, and what a size of 0 returns to.
     """
-    key = "spark.sql.shuffle.partitions"
-    present = int(spark.conf.get(key))
-    wanted = min(-(-size // INPUT_PER_PARTITION), MOST_PARTITIONS)
-    if wanted > present:
-        spark.conf.set(key, wanted)
-    return max(wanted, present)
+    own = int(spark.conf.get(_OWN_PARTITIONS, None) or spark.conf.get(_PARTITIONS))
+    spark.conf.set(_OWN_PARTITIONS, own)
+    wanted = max(own, min(-(-size // INPUT_PER_PARTITION), MOST_PARTITIONS))
+    spark.conf.set(_PARTITIONS, wanted)
+    return wanted
 
 
 @contextmanager
-def disk_backed_state(spark: SparkSession) -> Iterator[None]:
-    """Start stateful queries inside this block: they copy the settings at start."""
-    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+def state_settings(spark: SparkSession, per_group: bool) -> Iterator[None]:
+    """Start stateful queries inside this block: they copy the settings at start.
+
+    `per_group` says that the state holds a row per group, not per user.
+    """
+    wanted = dict(STATE_STORE)
+    if per_group:
+        present = int(spark.conf.get(_PARTITIONS))
+        wanted[_PARTITIONS] = str(min(present, GROUP_STATE_PARTITIONS))
+    before = {key: spark.conf.get(key, None) for key in wanted}
     try:
-        for key, value in STATE_STORE.items():
+        for key, value in wanted.items():
             spark.conf.set(key, value)
         yield
     finally:

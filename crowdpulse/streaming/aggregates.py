@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +12,7 @@ from crowdpulse.operators.keyed import drop_replays
 from crowdpulse.operators.messages import usable
 from crowdpulse.operators.stats import country_stats, tallies
 from crowdpulse.schemas import COUNTRY_STATS, REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
-from crowdpulse.session import disk_backed_state
+from crowdpulse.session import state_settings
 from crowdpulse.sources.tables import SNAPSHOTS_KEPT, SnapshotTable
 from crowdpulse.streaming.run import stream_writer
 
@@ -33,14 +35,23 @@ def every(seconds: int = REFRESH_DEFAULT) -> dict[str, str]:
 
 
 def _start_snapshots(
-    aggregate: DataFrame, schema: T.StructType, path: str, checkpoint: str, trigger: dict
+    users: DataFrame,
+    aggregate: Callable[[DataFrame], DataFrame],
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    replay_horizon: str | None,
 ) -> StreamingQuery:
+    rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         table = SnapshotTable(batch.sparkSession, path, schema, keep=SNAPSHOTS_KEPT)
         table.write(batch, batch_id)
 
-    with disk_backed_state(aggregate.sparkSession):
-        return stream_writer(aggregate, "complete", checkpoint, trigger).foreachBatch(write).start()
+    with state_settings(users.sparkSession, per_group=not replay_horizon):
+        writer = stream_writer(aggregate(rows), "complete", checkpoint, trigger)
+        return writer.foreachBatch(write).start()
 
 
 def start_country_stats(
@@ -53,21 +64,21 @@ def start_country_stats(
     row does not change these numbers; where that matters compute
     `country_stats` over the users table.
     """
-    rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
-    return _start_snapshots(country_stats(rows), COUNTRY_STATS, path, checkpoint, trigger)
+    return _start_snapshots(
+        users, country_stats, COUNTRY_STATS, path, checkpoint, trigger, replay_horizon
+    )
 
 
 def start_tallies(
     users: DataFrame, path: str, checkpoint: str, trigger: dict, replay_horizon: str | None = None
 ) -> StreamingQuery:
     """The tallies every KPI derives from; state grows with countries, not with users."""
-    rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
-    return _start_snapshots(tallies(rows), TALLIES, path, checkpoint, trigger)
+    return _start_snapshots(users, tallies, TALLIES, path, checkpoint, trigger, replay_horizon)
 
 
-def country_stats_table(spark, path: str) -> SnapshotTable:
+def country_stats_table(spark: SparkSession, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, COUNTRY_STATS)
 
 
-def tallies_table(spark, path: str) -> SnapshotTable:
+def tallies_table(spark: SparkSession, path: str) -> SnapshotTable:
     return SnapshotTable(spark, path, TALLIES)

@@ -11,7 +11,8 @@ from crowdpulse.session import (
     INPUT_PER_PARTITION,
     MOST_PARTITIONS,
     input_bytes,
-    raise_shuffle_partitions,
+    size_shuffles,
+    state_settings,
 )
 from crowdpulse.sources.tables import UsersTable
 from crowdpulse.sources.topic import message_batch, publish_to_files
@@ -74,13 +75,17 @@ def test_dashboard_checks_its_controls(spark, folder):
 
 def test_shuffle_partitions_follow_the_input(spark, folder):
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+    own = int(spark.conf.get(key))
     try:
-        assert raise_shuffle_partitions(spark, 1) == int(before)
-        assert raise_shuffle_partitions(spark, 100 * INPUT_PER_PARTITION + 1) == 101
+        assert size_shuffles(spark, 1) == own
+        assert size_shuffles(spark, 100 * INPUT_PER_PARTITION + 1) == 101
         assert spark.conf.get(key) == "101"
-        assert raise_shuffle_partitions(spark, 1 << 60) == MOST_PARTITIONS
+        with state_settings(spark, per_group=True):
+            assert spark.conf.get(key) == "32"
+        with state_settings(spark, per_group=False):
+            assert spark.conf.get(key) == "101"
+        assert size_shuffles(spark, 1 << 60) == MOST_PARTITIONS
     finally:
-        spark.conf.set(key, before)
+        assert size_shuffles(spark, 0) == own
     spark.range(10).write.parquet(folder("ten"))
     assert input_bytes(spark, folder("ten")) > 0
