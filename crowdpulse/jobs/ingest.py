@@ -24,7 +24,7 @@ from crowdpulse.operators.messages import flatten_users, quarantine
 from crowdpulse.schemas import REFRESH_DEFAULT
 from crowdpulse.session import build_session
 from crowdpulse.sources.topic import message_stream
-from crowdpulse.streaming.aggregates import every, start_country_stats, start_tallies
+from crowdpulse.streaming.aggregates import every, start_tallies
 from crowdpulse.streaming.run import DRAIN, await_all, await_any, start_fan_out, start_sink
 from crowdpulse.streaming.sinks import (
     append_sink,
@@ -71,9 +71,16 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
 
     counted = flatten_users(messages, ("user_id", "country", "gender", "age", "ingestion_time"))
     refresh = DRAIN if args.drain else every(args.refresh)
-    for name, starter in (("country_stats", start_country_stats), ("tallies", start_tallies)):
-        path, checkpoint = f"{tables}/{name}", f"{progress}/{name}"
-        queries.append(starter(counted, path, checkpoint, refresh, args.replay_horizon))
+    queries.append(
+        start_tallies(
+            counted,
+            f"{tables}/tallies",
+            f"{progress}/tallies",
+            refresh,
+            args.replay_horizon,
+            f"{tables}/country_stats",
+        )
+    )
     return queries
 
 

@@ -79,6 +79,7 @@ def tallies(users: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.sum("age").alias("age_sum"),
         F.count("age").alias("age_n"),
+        F.max("ingestion_time").alias("last_update"),
     )
 
 
@@ -87,12 +88,14 @@ def genders_from_tallies(rows: DataFrame) -> DataFrame:
 
 
 def countries_from_tallies(rows: DataFrame) -> DataFrame:
+    """The same rows as `country_stats` over the users themselves."""
     return (
         rows.where("country IS NOT NULL")
         .groupBy("country")
         .agg(
             F.sum("n").alias("count_users"),
             F.try_divide(F.sum("age_sum"), F.sum("age_n")).alias("avg_age"),
+            F.max("last_update").alias("last_update"),
         )
     )
 

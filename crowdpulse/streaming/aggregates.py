@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.operators.keyed import drop_replays
 from crowdpulse.operators.messages import usable
-from crowdpulse.operators.stats import country_stats, tallies
+from crowdpulse.operators.stats import countries_from_tallies, country_stats, tallies
 from crowdpulse.schemas import COUNTRY_STATS, REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
 from crowdpulse.session import state_settings
 from crowdpulse.sources.tables import SNAPSHOTS_KEPT, SnapshotTable
@@ -23,6 +23,7 @@ TALLIES = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("age_sum", T.LongType()),
         T.StructField("age_n", T.LongType()),
+        T.StructField("last_update", T.TimestampType()),
     ]
 )
 
@@ -37,18 +38,12 @@ def every(seconds: int = REFRESH_DEFAULT) -> dict[str, str]:
 def _start_snapshots(
     users: DataFrame,
     aggregate: Callable[[DataFrame], DataFrame],
-    schema: T.StructType,
-    path: str,
+    write: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict,
     replay_horizon: str | None,
 ) -> StreamingQuery:
     rows = drop_replays(users, replay_horizon) if replay_horizon else usable(users)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table = SnapshotTable(batch.sparkSession, path, schema, keep=SNAPSHOTS_KEPT)
-        table.write(batch, batch_id)
-
     with state_settings(users.sparkSession, per_group=not replay_horizon):
         writer = stream_writer(aggregate(rows), "complete", checkpoint, trigger)
         return writer.foreachBatch(write).start()
@@ -64,21 +59,41 @@ def start_country_stats(
     row does not change these numbers; where that matters compute
     `country_stats` over the users table.
     """
-    return _start_snapshots(
-        users, country_stats, COUNTRY_STATS, path, checkpoint, trigger, replay_horizon
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        country_stats_table(batch.sparkSession, path).write(batch, batch_id)
+
+    return _start_snapshots(users, country_stats, write, checkpoint, trigger, replay_horizon)
 
 
 def start_tallies(
-    users: DataFrame, path: str, checkpoint: str, trigger: dict, replay_horizon: str | None = None
+    users: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict,
+    replay_horizon: str | None = None,
+    stats_path: str | None = None,
 ) -> StreamingQuery:
-    """The tallies every KPI derives from; state grows with countries, not with users."""
-    return _start_snapshots(users, tallies, TALLIES, path, checkpoint, trigger, replay_horizon)
+    """The tallies every KPI derives from; state grows with countries, not with users.
+
+    With `stats_path` the country statistics are derived from each stored
+    snapshot, under the same id, so that one query, and one set of remembered
+    keys, keeps both current.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = tallies_table(batch.sparkSession, path)
+        table.write(batch, batch_id)
+        if stats_path:
+            stats = countries_from_tallies(table.read([batch_id]))
+            country_stats_table(batch.sparkSession, stats_path).write(stats, batch_id)
+
+    return _start_snapshots(users, tallies, write, checkpoint, trigger, replay_horizon)
 
 
 def country_stats_table(spark: SparkSession, path: str) -> SnapshotTable:
-    return SnapshotTable(spark, path, COUNTRY_STATS)
+    return SnapshotTable(spark, path, COUNTRY_STATS, keep=SNAPSHOTS_KEPT)
 
 
 def tallies_table(spark: SparkSession, path: str) -> SnapshotTable:
-    return SnapshotTable(spark, path, TALLIES)
+    return SnapshotTable(spark, path, TALLIES, keep=SNAPSHOTS_KEPT)

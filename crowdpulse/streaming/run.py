@@ -73,11 +73,12 @@ def await_any(queries: Sequence[StreamingQuery], poll_seconds: float = 0.5) -> N
         _stop(queries)
 
 
-def await_all(queries: Sequence[StreamingQuery]) -> None:
+def await_all(queries: Sequence[StreamingQuery], poll_seconds: float = 0.2) -> None:
     """Waits for draining queries; the first failure stops the rest and is raised."""
+    waiting = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(poll_seconds)]
     finally:
         _stop(queries)
 

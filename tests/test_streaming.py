@@ -180,6 +180,15 @@ def test_first_failure_stops_the_other_queries_and_is_raised(spark, topic, folde
     assert not any(query.isActive for query in queries)
 
 
+def test_failed_drain_stops_the_other_queries(spark, topic, folder):
+    users = users_of(spark, topic)
+    dying = failing(keyed_sink(folder("users"), name="dying"), at_batch=0)
+    endless = start_sink(users, append_sink("parquet", {"path": folder("out")}, "endless"), folder("progress"))
+    with pytest.raises(StreamingQueryException):
+        await_all([endless, start_sink(users, dying, folder("progress"), DRAIN)])
+    assert not endless.isActive
+
+
 def test_append_mode_refuses_an_unbounded_aggregate(spark, topic, folder):
     from pyspark.errors import AnalysisException
 
@@ -212,11 +221,16 @@ def test_replay_counts_only_without_a_horizon(spark, topic, folder, horizon, fac
 
 def test_dashboard_frames_come_from_one_snapshot(spark, topic, folder):
     users = users_of(spark, topic)
-    await_all([start_tallies(users, folder("tallies"), folder("progress/tallies"), DRAIN)])
+    stats_path = folder("stats")
+    await_all(
+        [start_tallies(users, folder("tallies"), folder("progress/tallies"), DRAIN, None, stats_path)]
+    )
     drain(users, [keyed_sink(folder("users"), folder("latest"))], folder("progress"))
     frames = Dashboard(spark, folder("tallies"), folder("latest")).refresh(limit=7)
     everyone = batch_users(spark, topic)
     per_country = stats.country_stats(everyone)
+    stored = country_stats_table(spark, stats_path).read_latest()
+    assert sorted(stored.collect()) == sorted(per_country.collect())
     kpis = frames["kpis"].first()
     assert (kpis.total_users, kpis.countries) == (110, 7)
     assert kpis.avg_age == pytest.approx(stats.avg_age_kpi(per_country).first().avg_age)
