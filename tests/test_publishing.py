@@ -104,3 +104,24 @@ def test_cadence_stream(spark, folder):
     assert all(n == 10 for _, n in stamps)
     steps = {b.t - a.t for a, b in zip(stamps, stamps[1:])}
     assert len(stamps) >= 2 and steps == {10}
+
+
+class Recorder:
+    """Stands in for a reader, to see which options a connector would get."""
+
+    def format(self, fmt):
+        self.fmt, self.given = fmt, {}
+        return self
+
+    def options(self, **given):
+        self.given = given
+        return self
+
+
+def test_kafka_reader_starts_at_the_earliest_message_and_tolerates_loss():
+    from crowdpulse.sources.topic import _reader
+
+    reader = _reader(Recorder(), "kafka", {"subscribe": "users", "startingOffsets": "latest"})
+    assert reader.given == {"subscribe": "users", "startingOffsets": "latest", "failOnDataLoss": "false"}
+    reader = _reader(Recorder(), "kafka", {"subscribe": "users"})
+    assert reader.given["startingOffsets"] == "earliest"
