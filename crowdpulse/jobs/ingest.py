@@ -25,7 +25,14 @@ from crowdpulse.schemas import REFRESH_DEFAULT
 from crowdpulse.session import build_session
 from crowdpulse.sources.topic import message_stream
 from crowdpulse.streaming.aggregates import every, start_tallies
-from crowdpulse.streaming.run import DRAIN, await_all, await_any, start_fan_out, start_sink
+from crowdpulse.streaming.run import (
+    DRAIN,
+    await_all,
+    await_any,
+    start_fan_out,
+    start_shared_fan_out,
+    start_sink,
+)
 from crowdpulse.streaming.sinks import (
     append_sink,
     debug_sink,
@@ -45,6 +52,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--refresh", type=int, default=REFRESH_DEFAULT, help="seconds, 5..60")
     parser.add_argument("--replay-horizon", help="e.g. '7 days': count a replayed user once")
+    parser.add_argument("--shared", action="store_true", help="parse once for all sinks")
     parser.add_argument("--debug", action="store_true", help="show rows of every micro-batch")
     parser.add_argument("--drain", action="store_true", help="take in what is there, then end")
     return parser.parse_args(argv)
@@ -64,7 +72,10 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     if args.debug:
         sinks.append(debug_sink())
     trigger = DRAIN if args.drain else None
-    queries = start_fan_out(users, sinks, progress, trigger)
+    if args.shared:
+        queries = [start_shared_fan_out(users, sinks, progress, trigger)]
+    else:
+        queries = start_fan_out(users, sinks, progress, trigger)
 
     bad = quarantine_sink(f"{tables}/quarantine")
     queries.append(start_sink(quarantine(messages), bad, progress, trigger))
