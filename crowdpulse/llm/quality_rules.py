@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from crowdpulse.llm.frames import cut
 
 BUCKETS = 1 << 16
-SMOOTH = 0.5
-THRESHOLD = -0.1
+# Added to every bucket's count: an n-gram of a few documents says little about the target.
+SMOOTH = 10.0
+THRESHOLD = -0.15
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
 WIDTH = 5
@@ -118,12 +119,11 @@ def ratio_table(documents: DataFrame, trusted: DataFrame) -> DataFrame:
         both.agg(F.sum("aim")).scalar().alias("aim_total"),
     )
 
-    def share(n: str, total: str) -> Column:
-        return (F.col(n) + SMOOTH) / (F.col(total) + SMOOTH * BUCKETS)
-
+    # The corpus' count at the target's size, so both multinomials are smoothed alike.
+    expected = F.col("raw") * F.col("aim_total") / F.col("raw_total")
     ratio = F.when(
         (F.col("raw_total") > 0) & (F.col("aim_total") > 0),
-        F.log(share("aim", "aim_total") / share("raw", "raw_total")),
+        F.log((F.col("aim") + SMOOTH) / (expected + SMOOTH)),
     ).otherwise(F.lit(0.0))
     return both.select("bucket", F.round(ratio * 1_000_000).cast("long").alias("ratio"))
 
