@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import cut
+from crowdpulse.llm.frames import cut, dealt
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -33,17 +33,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     greater, lesser = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     edges = cut(links.where("a != b").select(greater, lesser).distinct())
-    before = None
-    while (now := _state(edges)) != before:
-        before = now
-        both = cut(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    before, now = None, _state(edges)
+    while now != before:
+        rows = now[0]
+        edges = dealt(edges, rows)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        least = cut(least)
+        least = cut(dealt(least, 2 * rows))
         # Large star: neighbours above a node go to the smallest around it.
-        large = cut(_star(both.where("v > u"), least))
+        large = cut(dealt(_star(both.where("v > u"), least), rows))
         # Small star: neighbours below a node, and the node itself, do so too.
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = cut(dealt(large.groupBy("u").agg(F.min("v").alias("m")), rows))
         own = least.select("u", F.col("m").alias("v"))
-        edges = cut(_star(large, least).unionByName(own).distinct())
+        edges = cut(dealt(_star(large, least).unionByName(own).distinct(), rows))
+        before, now = now, _state(edges)
     labels = edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
     return labels.unionByName(labels.select(F.col("label").alias("id"), "label").distinct())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.sources.scratch import ensure_checkpoint_dir
@@ -20,6 +20,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that no plan needs; it waits for the driver's collector."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """At most one partition per hundred thousand of `rows`, so that small tables make few files."""
+    return df.coalesce(1 + rows // 100_000)
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only these columns, as name=SQL type; others, whatever their names, don't take part."""
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.components import components
-from crowdpulse.llm.frames import cut, picked, rows_of
+from crowdpulse.llm.frames import cut, dealt, free, picked, rows_of
 from crowdpulse.llm.shingles import mix, random_words, shingle_sets
 
 HASHES = 384
@@ -111,17 +111,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole shingle sets are similar enough.
 
-    Sets are made once more, for documents in pairs only, and written: a table
-    of pairs may hold one pivot very often, and Spark splits such a partition
-    of a join between written tables.
+    Both tables are written ones: pairs may hold one pivot very often, and
+    Spark splits such a partition of a join between written tables.
     """
-    pairs = cut(pairs)
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = docs.join(ends, "doc_id", "left_semi")
-    sets = cut(wanted.mapInArrow(_sets, "id long, shingles array<long>").distinct())
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
@@ -199,19 +194,26 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     member = nodes.select("id", F.explode("bands").alias("key"))
     sizes = member.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = cut(member.join(cut(sizes), "key"))
-    mass = buckets.groupBy("id").agg(F.sum("size").alias("mass"))
-    weighed = buckets.join(cut(mass), "id")
+    rows = buckets.count()
+    free(documents.sparkSession)
+    mass = cut(dealt(buckets.groupBy("id").agg(F.sum("size").alias("mass")), rows))
+    weighed = buckets.join(mass, "id")
     pivots = weighed.groupBy("key").agg(F.max(F.struct("mass", "id"))["id"].alias("pivot"))
-    stars = buckets.join(cut(pivots), "key").where("id != pivot")
+    stars = buckets.join(cut(dealt(pivots, rows)), "key").where("id != pivot")
     stars = stars.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     sketch = nodes.select("id", "sketch", "n_shingles")
     left = sketch.toDF("a", "left", "n_left")
     right = sketch.toDF("b", "right", "n_right")
-    close = cut(stars).join(left, "a").join(right, "b").where(_differ("left", "right") <= most)
+    close = cut(dealt(stars, rows)).join(left, "a").join(right, "b").where(_differ("left", "right") <= most)
     close = close.where(
         F.least("n_left", "n_right") * 100 >= F.greatest("n_left", "n_right") * percent
     )
-    links = cut(_confirmed(close.select("a", "b").distinct(), docs, percent))
+    # Whole sets are made once more, only for documents that share a bucket with others.
+    wanted = mass.select(F.col("id").alias("doc_id"))
+    sets = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+    sets = cut(sets.mapInArrow(_sets, "id long, shingles array<long>"))
+    links = cut(_confirmed(cut(close.select("a", "b").distinct()), sets, percent).distinct())
+    free(documents.sparkSession)
 
     # Rows of one document with several texts tie their classes together.
     members = cut(
@@ -225,10 +227,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     links = links.unionByName(same)
 
     labels = cut(components(links))
-    labelled = buckets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    # The one pair of a bucket of two has been compared above.
+    labelled = buckets.where("size > 2").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    open_keys = cut(split.where("x != y").select("key"))
-    labelled = cut(labelled.join(open_keys, "key", "left_semi"))
+    open_keys = cut(dealt(split.where("x != y").select("key"), rows))
+    labelled = cut(dealt(labelled.join(open_keys, "key", "left_semi"), rows))
     chunks = F.ceil(F.col("size") / BLOCK_ROWS).cast("long")
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
     every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
@@ -243,10 +246,12 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     blocks = blocks.select(
         "key", "first", "second", "chunk", "id", "label", "n_shingles", "bands", "sketch"
     )
+    free(documents.sparkSession)
     found = blocks.groupBy("key", "first", "second").applyInPandas(
         _cross_pairs(percent, most), "a long, b long"
     )
-    more = cut(_confirmed(found.distinct(), docs, percent))
+    more = cut(_confirmed(cut(dealt(found.distinct(), rows)), sets, percent).distinct())
+    free(documents.sparkSession)
     joined = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
     final = components(joined.unionByName(more))
     classes = classes.join(final, "id", "left").select(
