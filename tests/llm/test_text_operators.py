@@ -1,0 +1,211 @@
+"""Operators that read texts one by one, against plain versions and libraries."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from crowdpulse.llm import fingerprints, html_text, pieces, secrets, tokens
+from crowdpulse.llm.packing import best_fit, complete_bins, pack
+from crowdpulse.llm.piece_digests import digests
+from crowdpulse.llm.queries import table, tokenizer
+
+ODD_TEXTS = [
+    "", " ", "   a  b", "a\n\nb\tc", "▁a ▁ ▁▁b", "日本語 😀 é", "<s></s><unk>", "a" * 200,
+    "don't DON'T it's", "a b\x1cc", "É é İ ΑΣ Σ. <|endoftext|>x", "word,'s 12a3,,''s", "x²! a_. Ⅷ,",
+]
+
+
+def texts(spark, sf_dir):
+    return [row.text or "" for row in table(spark, sf_dir, "documents").collect()]
+
+
+def test_word_tokenizer_equals_the_library(spark, sf_dir):
+    own = tokens.WordTokenizer(tokenizer("word_bpe_49k.json"))
+    some = ODD_TEXTS + texts(spark, sf_dir)
+    want = [own.library.encode(t, add_special_tokens=False).ids for t in some]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(some)] == want
+
+
+def test_pieces_equal_the_library(spark, sf_dir):
+    import sentencepiece
+
+    path = tokenizer("piece_bpe_32k.model")
+    library, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.PieceCodec(path)
+    rng = random.Random(3)
+    signs = [" ", "a", "the", "ing", "▁", "\n", "é", "😀", "1", "2", ".", ",", "字", "--"]
+    made = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    some = ODD_TEXTS + made + texts(spark, sf_dir)
+    for text, (n, ids, decoded) in zip(some, own.digests(some)):
+        want = library.encode(text)
+        assert (n, ids, decoded) == (len(want), ",".join(map(str, want)), library.decode(want))
+        assert own.decode(want) == library.decode(want)
+
+
+def test_piece_digests_of_odd_rows(spark, odd_documents, no_documents):
+    path = tokenizer("piece_bpe_32k.model")
+    rows = digests(odd_documents, path).collect()
+    assert len(rows) == 9
+    empty = sha256(b"").hexdigest()
+    assert all(r.ids_sha256 == empty and r.n_tokens == 0 for r in rows if r.doc_id in (2, 3))
+    assert digests(no_documents, path).count() == 0
+
+
+def test_packing_keeps_every_token_once(spark, odd_documents, no_documents):
+    path = tokenizer("word_bpe_49k.json")
+    rows = pack(odd_documents, path).collect()
+    by_sequence: dict[int, list] = {}
+    for row in rows:
+        by_sequence.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    own = tokens.WordTokenizer(path)
+    want = Counter()
+    for row in odd_documents.collect():
+        want[row.doc_id] += len(next(own.encode([row.text or ""]))) // 4 + 1
+    got = Counter()
+    for row in rows:
+        got[row.doc_id] += row.length
+    assert got == want
+    assert pack(no_documents, path).count() == 0
+
+
+def test_bin_completion_is_optimal_on_small_cases():
+    def least(lengths, room):
+        """Fewest bins by trying everything."""
+        best = [len(lengths)]
+
+        def place(at, bins):
+            if len(bins) >= best[0] and at < len(lengths):
+                return
+            if at == len(lengths):
+                best[0] = min(best[0], len(bins))
+                return
+            for i, filled in enumerate(bins):
+                if filled + lengths[at] <= room:
+                    place(at + 1, bins[:i] + [filled + lengths[at]] + bins[i + 1 :])
+            place(at + 1, bins + [lengths[at]])
+
+        place(0, [])
+        return best[0]
+
+    rng = random.Random(11)
+    for _ in range(60):
+        lengths = [rng.randint(8, 60) for _ in range(rng.randint(1, 9))]
+        bins = complete_bins(lengths, 100)
+        assert sorted(x for b in bins for x in b) == sorted(lengths)
+        assert max(map(sum, bins)) <= 100
+        assert least(lengths, 100) <= len(bins) <= len(best_fit(lengths, 100))
+        assert len(bins) == least(lengths, 100)
+
+
+def test_base_spans_follow_the_patterns():
+    assign = re.compile(
+        r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    rng = random.Random(5)
+    parts = ["secret", "Token", "api_key", "=", ":", '"', " ", "abcdef", "AKIA", "0123456789abcdef",
+             "ABCDEFGH1234", "\n", "ſecret", "é", "tok", "passwd='x12345'"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 15)))
+        want = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+        for kind, (pattern, size) in enumerate((("AKIA[A-Z0-9]+", 20), ("[0-9a-f]+", 24)), 1):
+            found = re.finditer(pattern, text)
+            want += [(m.start(), kind, m.end()) for m in found if len(m[0]) >= size]
+        assert secrets.base_spans(text) == sorted(want)
+
+
+def test_novel_strings_in_sensitive_context_are_added():
+    text = "auth key: Zx81kQ93mmP0aaQ7ttBnL2 and key access_token_refresh_token1 end"
+    base, spans = secrets.find(text)
+    assert base == [] and [text[a:b] for a, _, b in spans] == ["Zx81kQ93mmP0aaQ7ttBnL2"]
+    assert secrets.masked(text, spans) == text.replace("Zx81kQ93mmP0aaQ7ttBnL2", "<secret>")
+
+
+def test_secrets_of_odd_rows(odd_documents, no_documents):
+    rows = secrets.scan(odd_documents).collect()
+    assert len(rows) == 9 and {r.spans for r in rows} == {""}
+    assert secrets.scan(no_documents).count() == 0
+    assert secrets.redact(odd_documents).collect() == odd_documents.collect()
+    assert secrets.redact(no_documents).count() == 0
+
+
+def test_spans_and_extensions_agree_with_the_text():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("ab😀") for _ in range(rng.randint(0, 40))) for _ in range(2))
+        x, y = fingerprints.PrefixHash(a), fingerprints.PrefixHash(b)
+        i, j = rng.randint(0, len(a)), rng.randint(0, len(b))
+        n = 0
+        while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+            n += 1
+        assert x.common(i, y, j) == n
+        if i < len(a):
+            assert x.span(i, len(a) - i) == int(x.spans(np.array([i]), len(a) - i)[0])
+        assert (x.fingerprint() == y.fingerprint()) == (a == b)
+
+
+def test_neighbours_equal_a_plain_walk(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
+    got = {r.doc_id: r for r in fingerprints.compare_neighbours(docs).collect()}
+    assert len(got) == len(rows)
+    for at, (doc_id, text) in enumerate(rows):
+        following = rows[(at + 1) % len(rows)][1]
+        third = len(text) // 3
+        changed = text[: len(text) - third] + following[:third]
+        assert got[doc_id].edited_sha256 == sha256(changed.encode()).hexdigest()
+        assert got[doc_id].fingerprint == fingerprints.PrefixHash(text).fingerprint()
+        assert got[doc_id].edited_fingerprint == fingerprints.PrefixHash(changed).fingerprint()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3])
+def test_few_neighbours(spark, n):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(n)], "doc_id long, text string")
+    assert fingerprints.compare_neighbours(docs).count() == n
+
+
+def test_neighbours_of_odd_rows(odd_documents):
+    assert fingerprints.compare_neighbours(odd_documents).count() == 9
+
+
+PAGES = [
+    ("<p>a &amp; b<br>c</p><p>d\n e", "a & b c\nd e"),
+    ("<nav><p>menu</p></nav><article><h1>T</h1><p>x<b>y</b> z</article><footer>f</footer>", "T\nxy z"),
+    ("<article><p>x</p><div class='comments'><p>no</p></div><form>f</form>tail</article>", "x\ntail"),
+    ("<article><p>x &am", "x &am"),
+    ("<article><p>x</p><di", "x"),
+    ("<script>var t='</p>';</script><main>m<!-- c --></main>", "m"),
+    ("<ul><li>a<li>b</ul>", "a\nb"),
+    ("", ""),
+    (None, ""),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), PAGES)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_site_templates_are_deleted(spark):
+    shared = "<div class='x1'>Follow us every day <em>now</em></div>"
+    rows = [(i, "http://h.org/a", f"<body>{shared}<p>own {i}</p><p>quote</p></body>") for i in range(8)]
+    rows += [(50 + i, "http://h.org/b", f"<article><p>quote</p><p>{i}</p></article>") for i in range(8)]
+    rows += [(90, "http://other.org/", f"<body>{shared}<p>z</p></body>"), (91, None, None)]
+    rows += [(None, None, "<p>n</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got[0] == "own 0"
+    assert got[50] == "quote\n0"
+    assert got[90] == "Follow us every day now\nz"
+    assert got[91] == "" and got[None] == "n"
+    assert html_text.extract(pages.limit(0)).count() == 0
