@@ -247,21 +247,41 @@ def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         signs, keys = [], []
-        for page in batch.column("html"):
+        for page, site in zip(batch.column("html"), batch.column("site").to_pylist()):
             root = parse(page.as_py())
             found = np.array(sorted({n.key for n in _candidates(root)}), dtype=np.int64)
-            keys.append(found)
+            # The site is part of the key, so that no host name travels with each of them.
+            keys.append(found ^ np.int64(site))
             signs.append(root.key)
-        columns = [batch.column("row"), batch.column("host"), pa.array(signs, pa.int64())]
+        columns = [batch.column("row"), batch.column("site"), pa.array(signs, pa.int64())]
         yield pa.RecordBatch.from_arrays(
-            [*columns, rows_of(keys, pa.int64())], names=["row", "host", "sign", "keys"]
+            [*columns, rows_of(keys, pa.int64())], names=["row", "site", "sign", "keys"]
+        )
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages compressed one by one for the shuffle to come; null stays null."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        pages = [p.as_buffer() if p.is_valid else None for p in batch.column("html")]
+        small = [None if page is None else press.compress(page) for page in pages]
+        columns = [batch.column(name) for name in ("page_id", "url", "row", "site")]
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array(small, pa.binary())], names=["page_id", "url", "row", "site", "page"]
         )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    opened = zstandard.ZstdDecompressor()
     for batch in batches:
-        pages, known = batch.column("html").to_pylist(), batch.column("keys").to_pylist()
-        texts = [main_text(page, frozenset(keys or ())) for page, keys in zip(pages, known)]
+        texts = []
+        for page, site, keys in zip(*[batch.column(n).to_pylist() for n in ("page", "site", "keys")]):
+            html = None if page is None else opened.decompress(page).decode("utf-8")
+            texts.append(main_text(html, frozenset(key ^ site for key in keys or ())))
         sizes = pa.array([len(text) for text in texts], pa.int64())
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(
@@ -290,22 +310,23 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     # Equal rows have equal keys, so a row is named by what it holds.
     rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
-    schema = "row long, host string, sign long, keys array<long>"
-    found = rows.select("row", "host", "html").mapInArrow(_page_keys, schema)
+    rows = rows.withColumn("site", F.xxhash64("host"))
+    schema = "row long, site long, sign long, keys array<long>"
+    found = rows.where("host != ''").select("row", "site", "html").mapInArrow(_page_keys, schema)
     # One row per page and key; pages that are copies of one another count once.
-    keys = cut(found.select("row", "host", "sign", F.explode("keys").alias("key")))
-    seen = keys.where("host != ''").select("host", "key", "sign").distinct()
-    often = seen.groupBy("host", "key").agg(F.count("*").alias("pages"))
-    templates = often.where(F.col("pages") >= least_pages).select("host", "key")
+    keys = cut(found).select("row", "sign", F.explode("keys").alias("key"))
+    often = keys.select("key", "sign").distinct().groupBy("key").agg(F.count("*").alias("pages"))
+    templates = often.where(F.col("pages") >= least_pages).select("key")
     # A template stands on very many pages, so both sides are salted.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    templates = cut(templates.select("host", "key", salts))
-    salted = keys.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
-    hits = salted.join(templates, ["host", "key", "salt"], "left_semi").distinct()
+    templates = cut(templates.select("key", salts))
+    salted = keys.select("row", "key", F.pmod(F.col("row"), F.lit(SALTS)).cast("int").alias("salt"))
+    hits = salted.join(templates, ["key", "salt"], "left_semi").distinct()
     by_row = hits.groupBy("row").agg(F.collect_set("key").alias("keys"))
-    marked = rows.select("page_id", "url", "html", "row").join(
-        cut(by_row).hint("shuffle_hash"), "row", "left"
+    packed = rows.select("page_id", "url", "row", "site", "html").mapInArrow(
+        _packed, "page_id long, url string, row long, site long, page binary"
     )
-    return marked.select("page_id", "url", "html", "keys").mapInArrow(
+    marked = packed.join(cut(by_row).hint("shuffle_hash"), "row", "left")
+    return marked.select("page_id", "url", "site", "page", "keys").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long"
     )
