@@ -203,6 +203,15 @@ def _candidates(root: Node) -> Iterator[Node]:
             stack.extend((c, own) for c in node.children if isinstance(c, Node))
 
 
+def _reached(root: Node) -> Iterator[Node]:
+    """The elements whose text `main_text` may take: those of the article, none below page furniture."""
+    stack = list(_main(root))
+    while stack:
+        node = stack.pop()
+        yield node
+        stack.extend(c for c in node.children if isinstance(c, Node) and not _is_chrome(c))
+
+
 def template_keys(page: str | None) -> set[int]:
     return {node.key for node in _candidates(parse(page))}
 
@@ -246,16 +255,20 @@ def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import numpy as np
 
     for batch in batches:
-        signs, keys = [], []
+        signs, keys, asked = [], [], []
         for page, site in zip(batch.column("html"), batch.column("site").to_pylist()):
             root = parse(page.as_py())
-            found = np.array(sorted({n.key for n in _candidates(root)}), dtype=np.int64)
+            found = list(_candidates(root))
+            shown = {id(node) for node in _reached(root)}
             # The site is part of the key, so that no host name travels with each of them.
-            keys.append(found ^ np.int64(site))
+            keys.append(np.array(sorted({n.key for n in found}), dtype=np.int64) ^ np.int64(site))
+            mine = sorted({n.key for n in found if id(n) in shown})
+            asked.append(np.array(mine, dtype=np.int64) ^ np.int64(site))
             signs.append(root.key)
         columns = [batch.column("row"), batch.column("site"), pa.array(signs, pa.int64())]
         yield pa.RecordBatch.from_arrays(
-            [*columns, rows_of(keys, pa.int64())], names=["row", "site", "sign", "keys"]
+            [*columns, rows_of(keys, pa.int64()), rows_of(asked, pa.int64())],
+            names=["row", "site", "sign", "keys", "asked"],
         )
 
 
@@ -311,16 +324,19 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     rows = rows.withColumn("site", F.xxhash64("host"))
-    schema = "row long, site long, sign long, keys array<long>"
+    schema = "row long, site long, sign long, keys array<long>, asked array<long>"
     found = rows.where("host != ''").select("row", "site", "html").mapInArrow(_page_keys, schema)
-    # One row per page and key; pages that are copies of one another count once.
-    keys = cut(found).select("row", "sign", F.explode("keys").alias("key"))
-    often = keys.select("key", "sign").distinct().groupBy("key").agg(F.count("*").alias("pages"))
+    found = cut(found)
+    # Every subtree counts, wherever it stands; pages that are copies of one another count once.
+    keys = found.select("sign", F.explode("keys").alias("key"))
+    often = keys.distinct().groupBy("key").agg(F.count("*").alias("pages"))
     templates = often.where(F.col("pages") >= least_pages).select("key")
+    # Asked for are only subtrees whose text would be taken: deleting others changes nothing.
     # A template stands on very many pages, so both sides are salted.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     templates = cut(templates.select("key", salts))
-    salted = keys.select("row", "key", F.pmod(F.col("row"), F.lit(SALTS)).cast("int").alias("salt"))
+    asked = found.select("row", F.explode("asked").alias("key"))
+    salted = asked.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
     hits = salted.join(templates, ["key", "salt"], "left_semi").distinct()
     by_row = hits.groupBy("row").agg(F.collect_set("key").alias("keys"))
     packed = rows.select("page_id", "url", "row", "site", "html").mapInArrow(
