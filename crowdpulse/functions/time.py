@@ -11,8 +11,17 @@ def epoch_now() -> Column:
     return F.unix_timestamp(F.current_timestamp())
 
 
+#: The last second of the year 9999. Stamps in milliseconds or finer lie beyond it.
+LAST_SECOND = 253_402_300_799
+
+
 def epoch_to_time(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """Epoch seconds as a timestamp; NULL before 1970 and after the year 9999.
+
+    Tested on the number: the conversion itself overflows, and would stop a
+    stream for ever over one message.
+    """
+    return F.timestamp_seconds(F.when(seconds.between(0, LAST_SECOND), seconds))
 
 
 def utc_ntz(moment: Column) -> Column:

@@ -34,7 +34,7 @@ def parse_flat(messages: DataFrame) -> DataFrame:
     return record.select(*[F.col(f"record.{name}").alias(name) for name in FLAT_USER.names])
 
 
-def _explode(messages: DataFrame, columns: Iterable[str], with_text: bool) -> DataFrame:
+def _explode(messages: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row per user, and one row with NULL `pos` for a message without users.
 
     The outer form of the generator matters: for the inner form Catalyst infers
@@ -42,14 +42,12 @@ def _explode(messages: DataFrame, columns: Iterable[str], with_text: bool) -> Da
     JSON text again, twice.
     """
     carried = [name for name in COORDINATES if name in messages.columns]
-    text = [F.col("value")] if with_text else []
-    envelope = F.from_json(text_of(), envelope_schema(columns, corrupt=with_text))
-    parsed = messages.select(*carried, *text, envelope.alias("envelope"))
-    fields = [F.col("envelope.ingestion_timestamp").alias("ingestion_timestamp")]
-    if with_text:
-        fields += [F.col(f"envelope.{CORRUPT}").alias(CORRUPT), text_of().alias("value")]
+    envelope = F.from_json(text_of(), envelope_schema(columns))
+    parsed = messages.select(*carried, envelope.alias("envelope"))
     return parsed.select(
-        *carried, *fields, F.posexplode_outer("envelope.results").alias("pos", "user")
+        *carried,
+        F.col("envelope.ingestion_timestamp").alias("ingestion_timestamp"),
+        F.posexplode_outer("envelope.results").alias("pos", "user"),
     )
 
 
@@ -80,7 +78,7 @@ def flatten_users(
     """
     columns = tuple(columns)
     arrival = ARRIVAL if with_arrival else ()
-    users = _explode(messages, columns, with_text=False).where("pos IS NOT NULL")
+    users = _explode(messages, columns).where("pos IS NOT NULL")
     return users.select(*_user_columns(columns), *arrival)
 
 
@@ -89,29 +87,43 @@ def usable(users: DataFrame) -> DataFrame:
     return users.dropna(subset=list(USER_KEY))
 
 
-def classified(messages: DataFrame) -> DataFrame:
-    """Every user, and every message without one, with the `reason` it cannot be stored.
+def judged(messages: DataFrame) -> DataFrame:
+    """One row per message: its users, the `reasons` why some cannot be stored, and its text.
 
-    `reason` is NULL for a usable row. Only unusable rows carry the message text.
+    `reasons` holds (pos, reason) per user without a whole key; for a message
+    that yields no user at all it holds one entry without `pos`. Only the key
+    fields are looked at: an `age` of the wrong type is stored as NULL.
     """
     carried = [name for name in COORDINATES if name in messages.columns]
-    rows = _explode(messages, USER_KEY, with_text=True)
-    no_user = F.col("pos").isNull()
-    reason = (
-        F.when(no_user & (F.trim(F.coalesce("value", F.lit(""))) == ""), "empty message")
-        .when(no_user & F.col(CORRUPT).isNotNull(), "malformed")
-        .when(no_user, "no users")
-        .when(F.col("user.login.uuid").isNull(), "no user_id")
-        .when(F.col("ingestion_timestamp").isNull(), "no ingestion_time")
+    envelope = F.from_json(text_of(), envelope_schema(USER_KEY, corrupt=True))
+    parsed = messages.select(*carried, text_of().alias("value"), envelope.alias("envelope"))
+    users, stamp = F.col("envelope.results"), F.col("envelope.ingestion_timestamp")
+    n_users = F.coalesce(F.size(users), F.lit(0))
+    n_users = F.greatest(n_users, F.lit(0))
+    of_message = (
+        F.when(F.trim(F.coalesce("value", F.lit(""))) == "", "empty message")
+        .when(F.col(f"envelope.{CORRUPT}").isNotNull(), "malformed")
+        .otherwise("no users")
     )
-    rows = rows.select(*carried, "pos", reason.alias("reason"), "value")
-    return rows.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+    of_stamp = F.when(stamp.isNull(), "no ingestion_time").when(
+        epoch_to_time(stamp).isNull(), "bad ingestion_time"
+    )
+
+    def of_user(user: Column, pos: Column) -> Column:
+        reason = F.when(user["login"]["uuid"].isNull(), "no user_id").otherwise(of_stamp)
+        return F.struct(pos.alias("pos"), reason.alias("reason"))
+
+    per_user = F.filter(F.transform(users, of_user), lambda entry: entry["reason"].isNotNull())
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("pos"), of_message.alias("reason")))
+    reasons = F.when(n_users == 0, whole).otherwise(per_user)
+    # A generator of one row, for the reason given at `_explode`.
+    verdict = F.array(F.struct(n_users.alias("n_users"), reasons.alias("reasons")))
+    return parsed.select(*carried, "value", F.inline_outer(verdict))
 
 
 def quarantine(messages: DataFrame) -> DataFrame:
-    """What a keyed table cannot hold, with the reason and the whole message text.
+    """Messages with anything a keyed table cannot hold: the reasons, and the text once.
 
-    One row per keyless user, and one per message that yields no user at all.
-    The usable rows and these together account for every message.
+    The usable rows and the reasons together account for every message.
     """
-    return classified(messages).where("reason IS NOT NULL")
+    return judged(messages).where(F.size("reasons") > 0).drop("n_users")

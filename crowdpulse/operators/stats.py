@@ -56,7 +56,7 @@ def country_kpis(stats: DataFrame) -> DataFrame:
 
 
 def countries_kpi(stats: DataFrame) -> DataFrame:
-    return stats.agg(F.count("*").alias("countries"))
+    return country_kpis(stats).select("countries")
 
 
 def avg_age_kpi(stats: DataFrame) -> DataFrame:

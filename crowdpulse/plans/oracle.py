@@ -73,7 +73,7 @@ _OVER_USERS = {
         FROM users GROUP BY gender
     """,
     "country_stats": _STATS,
-    "kpi_countries": "SELECT count(*) AS countries FROM stats",
+    "kpi_countries": "SELECT count(*) AS countries FROM stats HAVING count(*) > 0",
     "kpi_avg_age": """
         SELECT round(avg(avg_age), 6) AS avg_age FROM stats HAVING count(*) > 0
     """,

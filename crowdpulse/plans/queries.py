@@ -20,7 +20,7 @@ from crowdpulse.functions import epoch_to_time, refresh_text, utc_ntz
 from crowdpulse.operators import listings, stats
 from crowdpulse.operators.cadence import poll_at_cadence
 from crowdpulse.operators.keyed import first_arrival, last_write
-from crowdpulse.operators.messages import classified, flatten_users, parse_flat, text_of
+from crowdpulse.operators.messages import flatten_users, judged, parse_flat, text_of
 from crowdpulse.plans import fixture
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USER_COLUMNS
@@ -182,8 +182,10 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelopes = fixture.messages(holed).select("value")
     documents = fixture.table(spark, sf_dir, "documents")
     mixed = envelopes.unionAll(documents.select(F.col("text").cast("binary").alias("value")))
-    reason = F.coalesce("reason", F.lit("usable")).alias("reason")
-    return classified(mixed).groupBy(reason).agg(F.count("*").alias("n"))
+    bad = F.col("reasons.reason")
+    usable = F.array_repeat(F.lit("usable"), F.greatest(F.col("n_users") - F.size(bad), F.lit(0)))
+    reasons = judged(mixed).select(F.explode(F.concat(bad, usable)).alias("reason"))
+    return reasons.groupBy("reason").agg(F.count("*").alias("n"))
 
 
 # --- publishing -------------------------------------------------------------

@@ -8,7 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from crowdpulse.operators.messages import classified, flatten_users, parse_flat, quarantine, usable
+from crowdpulse.operators.messages import flatten_users, judged, parse_flat, quarantine, usable
 from crowdpulse.schemas import USERS, envelope_schema
 
 NOTHING = (None, None, None, None, None)
@@ -114,18 +114,33 @@ def test_every_message_is_usable_or_quarantined(messages):
         envelope(user("d", age="x")),
     )
     bad = quarantine(frame).orderBy("offset").collect()
-    assert [(r.offset, r.pos, r.reason) for r in bad] == [
-        (0, 1, "no user_id"),
-        (1, 0, "no ingestion_time"),
-        (2, None, "no users"),
-        (3, None, "malformed"),
-        (4, None, "empty message"),
-        (5, None, "empty message"),
-        (6, None, "malformed"),
+    assert [(r.offset, [tuple(e) for e in r.reasons]) for r in bad] == [
+        (0, [(1, "no user_id")]),
+        (1, [(0, "no ingestion_time")]),
+        (2, [(None, "no users")]),
+        (3, [(None, "malformed")]),
+        (4, [(None, "empty message")]),
+        (5, [(None, "empty message")]),
+        (6, [(None, "malformed")]),
     ]
     assert bad[3].value == "{bad"
     good = usable(flatten_users(frame))
     assert sorted(r.user_id for r in good.collect()) == ["a", "b", "d"]
-    reasons = classified(frame).where(F.col("reason").isNull())
-    assert reasons.count() == good.count()
-    assert reasons.where("value IS NOT NULL").count() == 0
+    kept = judged(frame).agg(F.sum(F.greatest(F.col("n_users") - F.size("reasons"), F.lit(0))))
+    assert kept.first()[0] == good.count()
+    plan = quarantine(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("stamp", [10**18, 1704067200000, -1, 253_402_300_800])
+def test_a_wild_stamp_is_set_aside_and_stops_nothing(messages, stamp):
+    frame = messages(envelope(user("a"), stamp=stamp), envelope(user("b")))
+    assert [r.user_id for r in usable(flatten_users(frame)).collect()] == ["b"]
+    (bad,) = quarantine(frame).collect()
+    assert [tuple(e) for e in bad.reasons] == [(0, "bad ingestion_time")]
+
+
+def test_many_keyless_users_keep_one_copy_of_the_text(messages):
+    frame = messages(envelope(*[user(None) for _ in range(200)]))
+    (bad,) = quarantine(frame).collect()
+    assert [e.pos for e in bad.reasons] == list(range(200))
