@@ -2,7 +2,8 @@
 
     spark-submit --py-files crowdpulse.zip crowdpulse/jobs/compact.py --tables s3a://bucket/users
 
-Safe beside a running ingest job: it writes a new base and touches nothing else.
+Safe beside a running ingest job: it writes a new base and removes only
+folders that the base before it had folded in.
 """
 
 from __future__ import annotations

@@ -34,12 +34,40 @@ def create_tables(spark: SparkSession, database: str, location: str) -> None:
         )
 
 
+#: Ids of one run's micro-batches; the next run's begin above.
+RUN_SPAN = 1 << 40
+
+
 class BatchFolders:
     """Numbered parquet batches below one folder."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
+    def own_id(self, batch_id: int) -> int:
+        """The id of a running query's micro-batch, above those of all runs before it.
+
+        Every new checkpoint counts its batches from 0 again, so a number alone
+        would overwrite older data and sort below it. A run is a query id, which
+        Spark keeps in the checkpoint; `_runs` holds them in order. A query whose
+        run is no longer the newest, such as one taken up again after another,
+        begins a new run. One query at a time may write to a table. Outside a
+        query the number stands as it is.
+        """
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query is None:
+            return batch_id
+        context = self.spark.sparkContext
+        runs = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_runs")
+        files = runs.getFileSystem(context._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(runs)] if files.exists(runs) else []
+        known = sorted((int(name.split("-", 1)[0]), name.split("-", 1)[1]) for name in names)
+        if known and known[-1][1] == query:
+            return known[-1][0] * RUN_SPAN + batch_id
+        run = known[-1][0] + 1 if known else int(bool(self.complete()))
+        files.mkdirs(context._jvm.org.apache.hadoop.fs.Path(runs, f"{run}-{query}"))
+        return run * RUN_SPAN + batch_id
+
     def folder(self, batch_id: int) -> str:
         return f"{self.path}/batch_id={batch_id}"
 
@@ -69,8 +97,8 @@ class BatchFolders:
 class SnapshotTable(BatchFolders):
     """Each batch is the whole table; the newest finished one counts.
 
-    With `keep`, a write removes the snapshot that many batches back: a refresh
-    every ten seconds would else make every listing longer for ever.
+    With `keep`, a write removes all but that many: a refresh every ten seconds
+    would else make every listing longer for ever.
     """
 
     def __init__(
@@ -81,8 +109,9 @@ class SnapshotTable(BatchFolders):
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         super().write(df, batch_id)
-        if self.keep and batch_id >= self.keep:
-            self.remove(batch_id - self.keep)
+        if self.keep:
+            for old in self.complete()[: -self.keep]:
+                self.remove(old)
 
     def latest_id(self, before: int | None = None) -> int | None:
         ids = [i for i in self.complete() if before is None or i < before]

@@ -61,7 +61,8 @@ def start_country_stats(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        country_stats_table(batch.sparkSession, path).write(batch, batch_id)
+        table = country_stats_table(batch.sparkSession, path)
+        table.write(batch, table.own_id(batch_id))
 
     return _start_snapshots(users, country_stats, write, checkpoint, trigger, replay_horizon)
 
@@ -83,10 +84,11 @@ def start_tallies(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table = tallies_table(batch.sparkSession, path)
-        table.write(batch, batch_id)
+        own = table.own_id(batch_id)
+        table.write(batch, own)
         if stats_path:
-            stats = countries_from_tallies(table.read([batch_id]))
-            country_stats_table(batch.sparkSession, stats_path).write(stats, batch_id)
+            stats = countries_from_tallies(table.read([own]))
+            country_stats_table(batch.sparkSession, stats_path).write(stats, own)
 
     return _start_snapshots(users, tallies, write, checkpoint, trigger, replay_horizon)
 

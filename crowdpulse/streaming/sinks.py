@@ -68,8 +68,9 @@ def debug_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         if copy_to:
             folders = BatchFolders(batch.sparkSession, copy_to, batch.schema)
-            folders.write(batch, batch_id)
-            batch = folders.read([batch_id]).drop("batch_id")
+            own = folders.own_id(batch_id)
+            folders.write(batch, own)
+            batch = folders.read([own]).drop("batch_id")
         shown = batch.limit(rows).toPandas()
         echo(f"batch {batch_id}\n{shown.to_string(index=False)}")
 
@@ -89,7 +90,8 @@ def append_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if fmt in FILE_FORMATS:
-            path = f"{options['path'].rstrip('/')}/batch_id={batch_id}"
+            folders = BatchFolders(batch.sparkSession, options["path"], batch.schema)
+            path = folders.folder(folders.own_id(batch_id))
             rest = {key: value for key, value in options.items() if key != "path"}
             batch.write.format(fmt).options(**rest).mode("overwrite").save(path)
         else:
@@ -103,9 +105,10 @@ def keyed_sink(path: str, latest_path: str | None = None, name: str = "keyed") -
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table = UsersTable(batch.sparkSession, path)
-        table.append(batch, batch_id)
+        own = table.log.own_id(batch_id)
+        table.append(batch, own)
         if latest_path:
-            LatestUsers(batch.sparkSession, latest_path).advance(table, batch_id)
+            LatestUsers(batch.sparkSession, latest_path).advance(table, own)
 
     return Sink(name, write)
 
@@ -137,10 +140,11 @@ class LatestUsers:
 
 
 def quarantine_sink(path: str, name: str = "quarantine") -> Sink:
-    """Stores quarantined rows, one folder per batch."""
+    """Stores quarantined messages, one folder per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        BatchFolders(batch.sparkSession, path, batch.schema).write(batch, batch_id)
+        folders = BatchFolders(batch.sparkSession, path, batch.schema)
+        folders.write(batch, folders.own_id(batch_id))
 
     return Sink(name, write)
 
