@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
+import zlib
 from collections import Counter, defaultdict
 
 from crowdpulse.llm.chat import ROTATE_SQL, rotate
@@ -10,6 +12,7 @@ from crowdpulse.llm.near_dedup import near_duplicates
 from crowdpulse.llm.quality_model import isotonic, quality_scores
 from crowdpulse.llm.quality_rules import rules
 from crowdpulse.llm.queries import op5_chat, table, trusted
+from crowdpulse.llm.secrets import find, masked
 from crowdpulse.llm.sharding import shard
 from tests.oracle_check import compare, connect
 
@@ -183,14 +186,47 @@ def test_chat_masks_cover_the_assistant(spark):
     assert rotate(turns.limit(0)).count() == 0
 
 
-def test_pipeline_keeps_columns_and_drops_copies(spark):
+def test_pipeline_equals_its_stages_by_hand(spark, tmp_path, sf_dir):
+    """Each stage's rows against a plain account of what its predecessor kept."""
     import corpus_pipeline as pipeline
+    from tokenizers import Tokenizer
 
-    folder = "/root/testdata/sf0.001"
-    docs = table(spark, folder, "documents")
-    assert [name for name, _ in pipeline.STAGES][:2] == ["quality classifier", "quality rules"]
-    kept = pipeline.one_of_each(spark, docs, folder)
-    want, _ = brute_components([(r.doc_id, r.text) for r in docs.collect()])
-    assert {r.doc_id for r in kept.collect()} == set(want.values())
-    assert kept.columns == docs.columns
-    assert pipeline.run(spark, folder).count() > 0
+    docs = table(spark, sf_dir, "documents")
+    after = [{r.doc_id: r.text for r in docs.collect()}]
+    columns, frame = docs.columns, docs
+    for number, (_, stage) in enumerate(pipeline.STAGES):
+        stage(spark, frame, sf_dir).write.parquet(f"{tmp_path}/{number}")
+        frame = spark.read.parquet(f"{tmp_path}/{number}")
+        if number < 4:
+            assert frame.columns == columns
+            after.append({r.doc_id: r.text for r in frame.collect()})
+    raw, good, clean, single, safe = after
+
+    scores = quality_scores(docs, table(spark, sf_dir, "labels")).collect()
+    assert good == {r.doc_id: raw[r.doc_id] for r in scores if r.score >= 0.7}
+    verdicts = rules(spark.read.parquet(f"{tmp_path}/0"), trusted(table(spark, sf_dir, "labels")))
+    assert clean == {r.doc_id: good[r.doc_id] for r in verdicts.collect() if r.kept}
+    groups, _ = brute_components(list(clean.items()))
+    assert single == {i: clean[i] for i in set(groups.values())}
+    assert set(safe) == set(single)
+    for doc_id, text in single.items():
+        spans = find(text or "")[1]
+        assert safe[doc_id] == (masked(text, spans) if text else text)
+        assert not any(text[start:end] in safe[doc_id] for _, start, end in spans)
+
+    model = Tokenizer.from_file(pipeline.tokenizer("word_bpe_49k.json"))
+    want = {}
+    for doc_id, text in safe.items():
+        ids = [*model.encode(text or "", add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            crc = zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+            want[doc_id, piece] = (start, len(part), crc)
+    rows = pipeline.run(spark, sf_dir).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+    assert len(rows) == len(want)
+    ends = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= 4096

@@ -209,3 +209,17 @@ def test_site_templates_are_deleted(spark):
     assert got[90] == "Follow us every day now\nz"
     assert got[91] == "" and got[None] == "n"
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_templates_inside_an_article_and_odd_pages(spark):
+    box = "<div class='x2'>Our partners <em>say</em></div>"
+    rows = [(i, "http://h.org/", f"<article><p>own {i}</p>{box}</article>", "k") for i in range(6)]
+    rows += [(6, "http://h.org/", "", "k"), (7, "http://h.org/", None, "k"), (8, None, "", None)]
+    rows += [rows[0], (9, "http://h.org/", f"<main>{box * 3}<p>{'long ' * 50_000}</p></main>", "k")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, site string")
+    found = html_text.extract(pages).collect()
+    assert len(found) == len(rows)
+    texts = {r.page_id: r.text for r in found}
+    assert [texts[i] for i in range(6)] == [f"own {i}" for i in range(6)]
+    assert (texts[6], texts[7], texts[8]) == ("", "", "")
+    assert texts[9] == ("long " * 50_000).strip()
