@@ -9,6 +9,8 @@ import argparse
 import time
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,10 @@ def run(spark: SparkSession, args: argparse.Namespace, echo: Callable[[str], Non
     while args.ticks is None or shown < args.ticks:
         if shown:
             time.sleep(args.refresh)
-        show_once(spark, args, echo)
+        try:
+            show_once(spark, args, echo)
+        except (PySparkException, Py4JError) as error:  # such as a snapshot removed while it is read
+            echo(f"refresh failed, going on: {error}")
         shown += 1
 
 

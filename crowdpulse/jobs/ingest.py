@@ -51,6 +51,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--tables", required=True, help="folder of the users table and snapshots")
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--refresh", type=int, default=REFRESH_DEFAULT, help="seconds, 5..60")
+    parser.add_argument("--every", type=int, help="seconds between micro-batches of the sinks; else none")
     parser.add_argument("--replay-horizon", help="e.g. '7 days': count a replayed user once")
     parser.add_argument("--shared", action="store_true", help="parse once for all sinks")
     parser.add_argument("--debug", action="store_true", help="show rows of every micro-batch")
@@ -71,7 +72,8 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
             sinks.append(append_sink(fmt, pairs(options), name, prepare))
     if args.debug:
         sinks.append(debug_sink())
-    trigger = DRAIN if args.drain else None
+    trigger = {"processingTime": f"{args.every} seconds"} if args.every else None
+    trigger = DRAIN if args.drain else trigger
     if args.shared:
         queries = [start_shared_fan_out(users, sinks, progress, trigger)]
     else:

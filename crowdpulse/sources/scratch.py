@@ -11,9 +11,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names; a local one only where none is set, as in tests."""
+    """The folder the cluster names; a local one only on one machine, as in tests."""
     root = spark.conf.get(SETTING, None)
-    return root if root else f"{tempfile.gettempdir()}/crowdpulse"
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {SETTING} to a folder that all machines of {master} share")
+    return f"{tempfile.gettempdir()}/crowdpulse"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -14,6 +14,7 @@ from crowdpulse.session import (
     size_shuffles,
     state_settings,
 )
+from crowdpulse.sources.scratch import shared_root
 from crowdpulse.sources.tables import UsersTable
 from crowdpulse.sources.topic import message_batch, publish_to_files
 from crowdpulse.streaming.aggregates import country_stats_table
@@ -67,6 +68,45 @@ def test_ingest_then_dashboard(spark, topic, folder, more):
     assert "30.0 ans" in text and "Nom Complet" in text and "C3" in text
 
 
+def test_dashboard_outlives_a_failed_refresh(spark, folder, monkeypatch):
+    real, calls, shown = dashboard.show_once, [], []
+
+    def once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            spark.read.parquet(folder("gone")).count()
+        real(*args)
+
+    monkeypatch.setattr(dashboard, "show_once", once)
+    monkeypatch.setattr(dashboard.time, "sleep", lambda seconds: None)
+    dashboard.run(spark, dashboard.parse(["--tables", folder("t"), "--ticks", "2"]), shown.append)
+    assert shown[0].startswith("refresh failed") and shown[1].startswith("refreshed ")
+
+
+def test_sinks_take_an_interval(spark, topic, folder):
+    args = ingest.parse(
+        ["--source-format", "parquet", "--source-option", f"path={topic}", "--every", "1",
+         "--tables", folder("tables"), "--checkpoints", folder("progress")]
+    )
+    queries = ingest.start(spark, args)
+    try:
+        for query in queries[:2]:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert UsersTable(spark, f"{folder('tables')}/users").current().count() == 95
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="share"):
+        shared_root(Cluster)
+
+
 def test_dashboard_checks_its_controls(spark, folder):
     with pytest.raises(ValueError):
         dashboard.run(spark, dashboard.parse(["--tables", folder("t"), "--refresh", "2"]))
