@@ -1,14 +1,14 @@
 """Main text of web pages; templates of a site are found by counting element subtrees per host.
 
-Every element's subtree (tags and text) is hashed. A subtree that recurs on
-many different pages of one host is the site's template, not the page's
-content, and is deleted before the text is taken.
+Every element's subtree (tags and text) is hashed. A subtree that stands on a
+set share of the different pages of one host is the site's template, not the
+page's content, and is deleted before the text is taken.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
 
@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from crowdpulse.llm.frames import cut, picked, rows_of
 
 LEAST_PAGES = 5
+SHARE = 0.5
 SALTS = 32
+# Pages of one host that meet in a task: this many, or this part of all pages.
+HOST_ROWS, HOST_PARTS = 64, 10_000
 
 # Fixed values of HTML: elements without content, without shown text, and inline ones.
 _VOID = frozenset(
@@ -40,6 +43,8 @@ _TEXT = frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption "
     "figure figcaption address hr".split()
 ) | _INLINE
+# Inline elements below these are parts of sentences.
+_SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption address".split())
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "toolbar tablist".split()
@@ -68,12 +73,13 @@ _OPEN_END = re.compile(r"<(?:[a-zA-Z/][^<>]*|!(?:--(?:(?!-->).)*|[^<>]*))?$", re
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "key")
+    __slots__ = ("tag", "attrs", "children", "parent", "key", "holds")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.key = 0
+        self.holds = False  # any text
 
 
 class _Builder(HTMLParser):
@@ -151,7 +157,9 @@ def _hash(root: Node) -> None:
         for child in node.children:
             if isinstance(child, Node):
                 parts.append(f"<{child.key}>")
+                node.holds = node.holds or child.holds
             elif not child.isspace():
+                node.holds = node.holds or bool(child)
                 parts.append(_SPACE.sub(" ", child).strip())
         digest = blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
         node.key = int.from_bytes(digest, "little", signed=True)
@@ -190,26 +198,23 @@ def _main(root: Node) -> list[Node]:
 
 
 def _candidates(root: Node) -> Iterator[Node]:
-    """Elements that may be templates: inside the article no text of its own, outside any but the frame."""
+    """Elements that may be templates: inside the article no text of its own, outside any but the frame.
+
+    Elements without text (a line break, an empty paragraph) are none, nor are
+    parts of sentences: deleting those would change text around them.
+    """
     inside = {id(node) for node in _main(root) if node is not root}
-    stack = [(root, False)]
+    stack = [(root, False, False)]
     while stack:
-        node, own = stack.pop()
+        node, own, sentence = stack.pop()
         own = own or id(node) in inside
-        if node.tag not in ("#page", "html", "body", "head") and id(node) not in inside:
-            if not (own and node.tag in _TEXT):
+        if node.tag in _HIDDEN or not node.holds:
+            continue
+        if node.tag not in ("#page", "html", "body") and id(node) not in inside:
+            if not (own and node.tag in _TEXT or sentence and node.tag in _INLINE):
                 yield node
-        if node.tag not in _HIDDEN:
-            stack.extend((c, own) for c in node.children if isinstance(c, Node))
-
-
-def _reached(root: Node) -> Iterator[Node]:
-    """The elements whose text `main_text` may take: those of the article, none below page furniture."""
-    stack = list(_main(root))
-    while stack:
-        node = stack.pop()
-        yield node
-        stack.extend(c for c in node.children if isinstance(c, Node) and not _is_chrome(c))
+        sentence = sentence and node.tag in _INLINE or node.tag in _SENTENCES
+        stack.extend((c, own, sentence) for c in node.children if isinstance(c, Node))
 
 
 def template_keys(page: str | None) -> set[int]:
@@ -251,39 +256,45 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
     return "\n".join(blocks)
 
 
+def _sign(root: Node) -> int:
+    """Names what the page has to say, so that copies with another date or menu around it are one page."""
+    keys = ",".join(str(node.key) for node in _main(root))
+    return int.from_bytes(blake2b(keys.encode(), digest_size=8).digest(), "little", signed=True)
+
+
 def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import numpy as np
 
     for batch in batches:
-        signs, keys, asked = [], [], []
-        for page, site in zip(batch.column("html"), batch.column("site").to_pylist()):
+        signs, keys = [], []
+        for page in batch.column("html"):
             root = parse(page.as_py())
-            found = list(_candidates(root))
-            shown = {id(node) for node in _reached(root)}
-            # The site is part of the key, so that no host name travels with each of them.
-            keys.append(np.array(sorted({n.key for n in found}), dtype=np.int64) ^ np.int64(site))
-            mine = sorted({n.key for n in found if id(n) in shown})
-            asked.append(np.array(mine, dtype=np.int64) ^ np.int64(site))
-            signs.append(root.key)
-        columns = [batch.column("row"), batch.column("site"), pa.array(signs, pa.int64())]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, rows_of(keys, pa.int64()), rows_of(asked, pa.int64())],
-            names=["row", "site", "sign", "keys", "asked"],
-        )
+            keys.append(np.array(sorted({n.key for n in _candidates(root)}), dtype=np.int64))
+            signs.append(_sign(root))
+        columns = [batch.column("site"), pa.array(signs, pa.int64()), rows_of(keys, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["site", "sign", "keys"])
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages compressed one by one for the shuffle to come; null stays null."""
-    import zstandard
+def _packed(salts: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pages compressed one by one for the shuffle to come, those of large hosts salted; null stays null."""
 
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        pages = [p.as_buffer() if p.is_valid else None for p in batch.column("html")]
-        small = [None if page is None else press.compress(page) for page in pages]
-        columns = [batch.column(name) for name in ("page_id", "url", "row", "site")]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(small, pa.binary())], names=["page_id", "url", "row", "site", "page"]
-        )
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            pages = [p.as_buffer() if p.is_valid else None for p in batch.column("html")]
+            small = [None if page is None else press.compress(page) for page in pages]
+            named = zip(batch.column("row").to_pylist(), batch.column("site").to_pylist())
+            # Pages without a host have no templates and are dealt like any rows.
+            salt = [row if site is None else row % salts.get(site, 1) for row, site in named]
+            columns = [batch.column(name) for name in ("page_id", "url", "site")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(salt, pa.int64()), pa.array(small, pa.binary())],
+                names=["page_id", "url", "site", "salt", "page"],
+            )
+
+    return pack
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,9 +303,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     opened = zstandard.ZstdDecompressor()
     for batch in batches:
         texts = []
-        for page, site, keys in zip(*[batch.column(n).to_pylist() for n in ("page", "site", "keys")]):
+        for page, keys in zip(*[batch.column(n).to_pylist() for n in ("page", "keys")]):
             html = None if page is None else opened.decompress(page).decode("utf-8")
-            texts.append(main_text(html, frozenset(key ^ site for key in keys or ())))
+            texts.append(main_text(html, frozenset(keys or ())))
         sizes = pa.array([len(text) for text in texts], pa.int64())
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(
@@ -308,11 +319,12 @@ def host_of(url: F.Column) -> F.Column:
     return F.lower(host)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of `pages`.
 
     A subtree is a template if it stands on at least `least_pages` pages of
-    its host that are not equal as a whole. Inside an article, paragraphs,
+    its host and on at least `share` of them; pages with the same article (or
+    without one the same whole) count once. Inside an article, paragraphs,
     headings, lists and tables are content even where pages quote the same
     ones. A null page counts as empty, an empty one has empty text. Pages
     without a host share the empty one, where nothing is a template. Repeated
@@ -320,29 +332,37 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     take part.
     """
     rows = picked(pages, page_id="long", url="string", html="string")
-    # Equal rows have equal keys, so a row is named by what it holds.
     rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
-    rows = rows.withColumn("host", host_of(F.col("url")))
-    rows = rows.withColumn("site", F.xxhash64("host"))
-    schema = "row long, site long, sign long, keys array<long>, asked array<long>"
-    found = rows.where("host != ''").select("row", "site", "html").mapInArrow(_page_keys, schema)
-    found = cut(found)
-    # Every subtree counts, wherever it stands; pages that are copies of one another count once.
-    keys = found.select("sign", F.explode("keys").alias("key"))
-    often = keys.distinct().groupBy("key").agg(F.count("*").alias("pages"))
-    templates = often.where(F.col("pages") >= least_pages).select("key")
-    # Asked for are only subtrees whose text would be taken: deleting others changes nothing.
-    # A template stands on very many pages, so both sides are salted.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    templates = cut(templates.select("key", salts))
-    asked = found.select("row", F.explode("asked").alias("key"))
-    salted = asked.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
-    hits = salted.join(templates, ["key", "salt"], "left_semi").distinct()
-    by_row = hits.groupBy("row").agg(F.collect_set("key").alias("keys"))
+    host = host_of(F.col("url"))
+    rows = rows.withColumn("site", F.when(host != "", F.xxhash64(host)))
+    found = rows.where("site IS NOT NULL").select("site", "html")
+    found = cut(found.mapInArrow(_page_keys, "site long, sign long, keys array<long>"))
+    sites = found.groupBy("site").agg(
+        F.count_distinct("sign").alias("different"), F.count("*").alias("copies")
+    )
+    sites = cut(sites)
+    total = sites.agg(F.sum("copies")).first()[0] or 0
+    # Large hosts are salted, each by its size; at most HOST_PARTS of them are.
+    room = max(HOST_ROWS, -(-total // HOST_PARTS))
+    sites = sites.withColumn("salts", F.ceil(F.col("copies") / room))
+    large = {r.site: r.salts for r in sites.where("salts > 1").select("site", "salts").collect()}
+    # Every subtree counts, wherever it stands.
+    keys = found.select("site", "sign", F.explode("keys").alias("key")).distinct()
+    often = keys.groupBy("site", "key").agg(F.count("*").alias("pages"))
+    often = often.where(F.col("pages") >= least_pages)
+    often = often.withColumn("part", F.pmod("key", F.lit(SALTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
+    known = sites.where(F.col("different") >= least_pages).select("*", parts)
+    often = often.join(known, ["site", "part"])
+    often = often.where(F.col("pages") >= share * F.col("different"))
+    # As each stands on that share, a host has no more of them than a few pages have elements.
+    templates = often.groupBy("site", "salts").agg(F.collect_list("key").alias("keys"))
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    templates = cut(templates.select("site", salt, "keys"))
     packed = rows.select("page_id", "url", "row", "site", "html").mapInArrow(
-        _packed, "page_id long, url string, row long, site long, page binary"
+        _packed(large), "page_id long, url string, site long, salt long, page binary"
     )
-    marked = packed.join(cut(by_row).hint("shuffle_hash"), "row", "left")
-    return marked.select("page_id", "url", "site", "page", "keys").mapInArrow(
+    marked = packed.join(templates.hint("shuffle_hash"), ["site", "salt"], "left")
+    return marked.select("page_id", "url", "page", "keys").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long"
     )

@@ -223,3 +223,18 @@ def test_templates_inside_an_article_and_odd_pages(spark):
     assert [texts[i] for i in range(6)] == [f"own {i}" for i in range(6)]
     assert (texts[6], texts[7], texts[8]) == ("", "", "")
     assert texts[9] == ("long " * 50_000).strip()
+
+
+def test_what_few_pages_of_a_large_host_share_is_content(spark):
+    shared = "<h2>Introduction</h2><p>a quoted <b>passage</b></p>"
+    menu = "<div>Menu<br>of the site</div>"
+    rows = [(i, "http://h.org/", f"{menu}{shared * (i < 9)}<p>own <b>x</b><br>{i}</p>") for i in range(40)]
+    # Copies of one article under changing menus are one page, so its body is no template.
+    body = "<article><div>body</div></article>"
+    rows += [(50 + i, "http://i.org/", f"<nav>{i}</nav>{body}") for i in range(6)]
+    rows += [(60 + i, "http://i.org/", f"<article><p>{i}</p></article>") for i in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert all(got[i] == f"Introduction\na quoted passage\nown x {i}" for i in range(9))
+    assert all(got[i] == f"own x {i}" for i in range(9, 40))
+    assert all(got[50 + i] == "body" for i in range(6))
