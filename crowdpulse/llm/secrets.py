@@ -1,17 +1,22 @@
 """Secrets in texts: fixed patterns, and strings that compression finds novel.
 
 A candidate is a long string of letters and digits with a sensitive word
-shortly before it. Zstandard, primed with a dictionary of common identifiers
-and of the code around the candidate, tells how many bytes the candidate adds.
-Identifiers, words and values that the surroundings know add few; a random key
-adds nearly its own length.
+before it, such as the name it is assigned to. Zstandard, primed with a
+dictionary of common identifiers and of the code around the candidate, tells
+how many bytes the candidate adds. Identifiers, words and values that the
+surroundings know add few; a random key adds nearly its own length. So do
+words that the dictionary lacks: a string without digits must also be
+unlikely, pair of letters by pair, as words of natural language.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from hashlib import sha256
+from math import log2
 
 import pyarrow as pa
 import zstandard
@@ -24,6 +29,7 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 WINDOW = 256
 CONTEXT = 48
 NOVELTY = 0.7
+LETTER_BITS = 5.2
 MARK = "<secret>"
 
 # Letters A to Z only, in either case.
@@ -33,7 +39,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(rf"AKIA[A-Z0-9]{{{ACCESS_LENGTH - 4},}}")
 _HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 _TRIGGERS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# A sign = ends a name; only at the end it is the padding of a value.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 _SENSITIVE = re.compile(
     r"(?ai)(?:passw|pwd|passphrase|secret|token|key|credential|auth|bearer|private|signature|salt)"
 )
@@ -49,6 +56,34 @@ IDENTIFIERS = (
     "true false none null undefined 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ "
     "00000000-0000-0000-0000-000000000000 1234567890 xxxxxxxxxxxxxxxxxxxx AAAAAAAAAAAAAAAAAAAA"
 )
+# Fixed value: common words of four languages, for the pairs of letters in them.
+WORDS = (
+    "the of and to in is that for it as was with be by on not he his but at are this have from or had an "
+    "they which one you were her all she there would their we him been has when who will more no if out so "
+    "said what up its about into than them can only other new some could time these two may then do first "
+    "any my now such like our over man me even most made after also did many before must through back years "
+    "where much your way well down should because each just those people how too little state good very make "
+    "world still own see men work long get here between both life being under never day same another know "
+    "while last might us great old year off come since against go came right used take three "
+    "international information understanding development responsibility characteristic organization "
+    "communication environment government relationship particularly application configuration description "
+    "keyboard authentication authorization implementation transformation straightforward acknowledgement "
+    "password string number value function object default index user file path server client request "
+    "response handler manager factory service connection session message content document element event "
+    "src main java com org net www http html app lib bin usr etc local share home opt var tmp test "
+    "button window image header settings context provider component controller repository exception "
+    "der die und das von den mit ist des sich auf ein eine nicht als auch werden aus hat dass sie nach wird "
+    "bei einer um noch wie einem haben nur oder aber vor zur bis mehr durch man sein wurde sei gegen vom "
+    "schon wenn habe seine uhr ihre dann unter wir soll ich eines jahr zwei jahren diese dieser wieder keine "
+    "gesellschaft verwaltung wissenschaft entwicklung geschwindigkeit schiff fahrt versicherung haupt "
+    "schluessel verfahren bundes regierung arbeit leistung zusammen berechtigung freundschaft moeglichkeit "
+    "le de un etre et en avoir que pour dans ce il qui ne sur se pas plus par je avec tout faire son mettre "
+    "autre on mais nous comme ou si leur elle devoir avant deux meme prendre aussi celui donner bien encore "
+    "gouvernement developpement malheureusement environnement particulierement naturellement connaissance "
+    "el la que y los del las por con no una su para es al lo mas pero sus ya o fue este ha porque esta son "
+    "entre cuando muy sin sobre ser tiene tambien me hasta hay donde han quien estan desde todo nos durante "
+    "todos uno les contra otros ese eso habia ante ellos informacion responsabilidad desarrollo conocimiento"
+)
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -88,21 +123,51 @@ def novelty(text: str, start: int, end: int) -> float:
     return (len(primed.compress(lead + raw)) - len(primed.compress(lead))) / len(raw)
 
 
+_WORD_ENDS = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
+
+
+@cache
+def _pair_bits() -> dict[str, float]:
+    """Bits that the second letter takes after the first; a space stands for both ends of a word."""
+    text = f" {' '.join(WORDS.split())} "
+    pairs, firsts = Counter(map("".join, zip(text, text[1:]))), Counter(text[:-1])
+    signs = " abcdefghijklmnopqrstuvwxyz"
+    return {a + b: -log2((pairs[a + b] + 0.3) / (firsts[a] + 0.3 * len(signs))) for a in signs for b in signs}
+
+
+def letter_bits(value: str) -> float:
+    """Bits that each letter takes if the string were words, split at signs and capitals."""
+    words = f" {_WORD_ENDS.sub(' ', value).strip().lower()} "
+    bits = _pair_bits()
+    return sum(bits[a + b] for a, b in zip(words, words[1:]) if a != " " or b != " ") / max(
+        1, sum(c != " " for c in words)
+    )
+
+
+def _is_novel(text: str, start: int, end: int) -> bool:
+    value = text[start:end]
+    if not any(c.isdigit() for c in value) and letter_bits(value) < LETTER_BITS:
+        return False
+    return novelty(text, start, end) >= NOVELTY
+
+
 def novel_spans(text: str, base: list[Span]) -> list[Span]:
     """Candidates in sensitive context that are novel and overlap no span of `base`."""
     spans: list[Span] = []
+    last = -1
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
-        value = match[0]
-        if value.isalpha() or value.isdigit() or not any(c.isdigit() for c in value):
+        if match[0].isdigit():
             continue
-        line = text[max(0, start - CONTEXT) : start].rpartition("\n")[2]
-        if not _SENSITIVE.search(line):
+        # The lines of one long key stand below each other.
+        more = last >= 0 and not text[last:start].strip()
+        if not more and not _SENSITIVE.search(text, max(0, start - WINDOW), start):
             continue
         if any(low < end and start < high for low, _, high in base):
             continue
-        if novelty(text, start, end) >= NOVELTY:
+        if _is_novel(text, start, end):
             spans.append((start, 3, end))
+            last = end
     return spans
 
 

@@ -238,3 +238,30 @@ def test_what_few_pages_of_a_large_host_share_is_content(spark):
     assert all(got[i] == f"Introduction\na quoted passage\nown x {i}" for i in range(9))
     assert all(got[i] == f"own x {i}" for i in range(9, 40))
     assert all(got[50 + i] == "body" for i in range(6))
+
+
+KEY, LETTERS = "Zx81kQ93mmP0aaQ7ttBnL2", "qGzXwvKjTpRbYhNcLfDs"
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        (f"AWS_SECRET_ACCESS_KEY={KEY}", KEY),
+        (f"export private_key={KEY}== # x", f"{KEY}=="),
+        (f"https://h.org/a?key={KEY}&b=1", KEY),
+        (f"auth={KEY}", KEY),
+        (f"private_key: {LETTERS}", LETTERS),
+        (f"auth='{LETTERS.lower()}'", LETTERS.lower()),
+        (f"credential:\n  {KEY}", KEY),
+        (f"the key, {'as they say, ' * 8}is {KEY}", KEY),
+    ],
+)
+def test_novel_strings_in_common_forms_are_found(text, found):
+    base, spans = secrets.find(text)
+    assert base == [] and [text[a:b] for a, _, b in spans] == [found]
+
+
+def test_long_words_and_names_are_no_secrets():
+    for name in ("internationalization", "Geschwindigkeitsbegrenzung", "MAX_CONNECTION_TIMEOUT",
+                 "desafortunadamente", "getElementByIdentifier", "src/main/java/com/example/app"):
+        assert secrets.find(f"the private key is {name} there") == ([], [])
