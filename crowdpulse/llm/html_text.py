@@ -49,14 +49,30 @@ _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "toolbar tablist".split()
 )
-# Words of class and id names that stand for something other than the article.
-_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|"
-    r"modal|overlay|newsletter|subscribe|signup|comments?|commentlist|replies|disqus|respond|nav|"
-    r"navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|widget|footer|site-header|masthead|topbar|"
-    r"share|sharing|social|related|recommended|pagination|pager|skip-link|toolbar|login)(?:$|[-_\s])",
-    re.IGNORECASE,
+# Class and id names, each a whole one, that stand for something other than the article.
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos "
+    "promotion banner cookie cookies cookie-banner cookie-bar cookie-consent cookie-notice consent gdpr notice "
+    "popup modal overlay newsletter newsletter-signup subscribe signup comment comments comment-list "
+    "commentlist comment-form comment-respond post-comments replies disqus disqus_thread respond nav navbar "
+    "nav-menu main-nav site-nav navigation main-navigation site-navigation menu main-menu breadcrumb "
+    "breadcrumbs sidebar side-bar sidebar-left sidebar-right left-sidebar right-sidebar widget widgets "
+    "widget-area footer site-footer page-footer site-header masthead topbar top-bar share sharing "
+    "share-buttons share-links social social-links social-share social-icons related related-posts "
+    "related-articles related-links recommended pagination pager skip-link toolbar login".split()
 )
+# Of these, the ones whose articles are other people's or other pages'.
+_OTHERS = frozenset(
+    "comment comments comment-list commentlist comment-respond post-comments replies disqus disqus_thread "
+    "respond related related-posts related-articles related-links recommended".split()
+)
+# Those around an article that is not the page's own if there is another.
+_ASIDE = _OTHERS | frozenset(
+    "sidebar side-bar sidebar-left sidebar-right left-sidebar right-sidebar widget widgets widget-area".split()
+)
+# Some pages stand in a form as a whole.
+_WRAPPERS = frozenset("form fieldset".split())
+_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li table blockquote pre article main".split())
 _KEPT_NAMES = frozenset("article main body html".split())
 # An open tag of the key closes these, up to the nearest of the ones after.
 _ITEM_SCOPE = {
@@ -73,13 +89,14 @@ _OPEN_END = re.compile(r"<(?:[a-zA-Z/][^<>]*|!(?:--(?:(?!-->).)*|[^<>]*))?$", re
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "key", "holds")
+    __slots__ = ("tag", "attrs", "children", "parent", "key", "size", "articles", "blocks", "wraps")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.key = 0
-        self.holds = False  # any text
+        self.size = 0  # signs of shown text
+        self.articles = self.blocks = self.wraps = False  # whether it holds any; holds the page
 
 
 class _Builder(HTMLParser):
@@ -146,7 +163,7 @@ def parse(page: str | None) -> Node:
 
 
 def _hash(root: Node) -> None:
-    """The key of each subtree from tags and text, children first, without recursion."""
+    """The key of each subtree from tags and text, and what it holds, children first, without recursion."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -157,43 +174,109 @@ def _hash(root: Node) -> None:
         for child in node.children:
             if isinstance(child, Node):
                 parts.append(f"<{child.key}>")
-                node.holds = node.holds or child.holds
+                _tell(child, node)
             elif not child.isspace():
-                node.holds = node.holds or bool(child)
                 parts.append(_SPACE.sub(" ", child).strip())
+                node.size += len(parts[-1])
         digest = blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
         node.key = int.from_bytes(digest, "little", signed=True)
+    for node in order:
+        node.wraps = node.blocks or node.size > 0 and 2 * node.size >= root.size
+
+
+def _tell(child: Node, node: Node) -> None:
+    """Adds up what an element holds from its child."""
+    if child.tag in _HIDDEN:
+        return
+    node.size += child.size
+    own = child.tag in ("article", "main") or child.attrs.get("role") == "main"
+    node.articles = node.articles or own or child.articles
+    if child.size and (child.tag not in _CHROME or child.tag in _WRAPPERS):
+        node.blocks = node.blocks or child.tag in _BLOCKS or child.blocks
+
+
+def _names(node: Node) -> set[str]:
+    if not node.attrs:
+        return set()
+    return set(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split())
+
+
+def _is_put_away(node: Node) -> bool:
+    """Furniture by its role, or hidden by an attribute."""
+    attrs = node.attrs
+    if node.tag in _KEPT_NAMES:
+        return False
+    role = attrs.get("role", "").strip().lower()
+    if role in _ROLES and not (role == "form" and node.wraps) or "hidden" in attrs:
+        return True
+    return attrs.get("aria-hidden", "").lower() == "true"
 
 
-def _is_chrome(node: Node) -> bool:
-    if node.tag in _HIDDEN or node.tag in _CHROME:
+def _is_chrome(node: Node, whole: bool = False) -> bool:
+    """Page furniture. If the `whole` page is read, what holds an article goes only for names in _OTHERS."""
+    if node.tag in _WRAPPERS:
+        if not node.wraps:
+            return True
+    elif node.tag in _HIDDEN or node.tag in _CHROME:
         return True
     if node.tag in _KEPT_NAMES:
         return False
-    attrs = node.attrs
-    if attrs.get("role", "").strip().lower() in _ROLES or "hidden" in attrs:
+    if _is_put_away(node):
         return True
-    if attrs.get("aria-hidden", "").lower() == "true":
+    if node.tag in _INLINE or node.tag in _WRAPPERS:
+        return False
+    return not _names(node).isdisjoint(_OTHERS if whole and node.articles else _NAMES)
+
+
+def _is_aside(node: Node) -> bool:
+    """What holds only articles that are not the page's own."""
+    if node.tag in _HIDDEN or node.tag in _CHROME and node.tag not in _WRAPPERS or _is_put_away(node):
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return bool(names.strip()) and bool(_NAMES.search(names))
+    return node.tag not in _KEPT_NAMES and not _names(node).isdisjoint(_ASIDE)
 
 
-def _main(root: Node) -> list[Node]:
-    """The outermost articles; else the main element; else the page."""
-    for wanted in ("article", "main"):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if node.tag == wanted or wanted == "main" and node.attrs.get("role") == "main":
+def _outermost(root: Node, wanted: str, passed: Callable[[Node], bool]) -> list[Node]:
+    """The outermost elements of the kind that hold text, none below elements that are passed over."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag == wanted or wanted == "main" and node.attrs.get("role") == "main":
+            if node.size:
                 found.append(node)
-                continue
-            if node is not root and _is_chrome(node):
-                # An article among comments or in a sidebar is not the page's own.
-                continue
+            continue
+        if node.articles and (node is root or not passed(node)):
             stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found
+
+
+def _shows(root: Node) -> bool:
+    """Whether any text stands outside page furniture."""
+    stack = [root]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, str):
+                if child and not child.isspace():
+                    return True
+            elif child.size and not _is_chrome(child, True):
+                stack.append(child)
+    return False
+
+
+def _main(root: Node) -> list[Node]:
+    """The outermost articles; else the main element; else the page; else articles wherever they stand.
+
+    Names of the elements around an article say nothing about it, but for
+    comments, sidebars and links to other pages.
+    """
+    for wanted in ("article", "main"):
+        found = _outermost(root, wanted, _is_aside)
         if found:
             return found
+    if not _shows(root):
+        for wanted in ("article", "main"):
+            found = _outermost(root, wanted, lambda node: node.tag in _HIDDEN)
+            if found:
+                return found
     return [root]
 
 
@@ -208,7 +291,7 @@ def _candidates(root: Node) -> Iterator[Node]:
     while stack:
         node, own, sentence = stack.pop()
         own = own or id(node) in inside
-        if node.tag in _HIDDEN or not node.holds:
+        if node.tag in _HIDDEN or not node.size:
             continue
         if node.tag not in ("#page", "html", "body") and id(node) not in inside:
             if not (own and node.tag in _TEXT or sentence and node.tag in _INLINE):
@@ -242,7 +325,7 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
                 end_block()
             elif isinstance(item, str):
                 open_.append(item)
-            elif id(item) in removed or item is not top and _is_chrome(item):
+            elif id(item) in removed or item is not top and _is_chrome(item, top is root):
                 if item.tag not in _INLINE:
                     end_block()
             elif item.tag == "br":

@@ -265,3 +265,24 @@ def test_long_words_and_names_are_no_secrets():
     for name in ("internationalization", "Geschwindigkeitsbegrenzung", "MAX_CONNECTION_TIMEOUT",
                  "desafortunadamente", "getElementByIdentifier", "src/main/java/com/example/app"):
         assert secrets.find(f"the private key is {name} there") == ([], [])
+
+
+FRAMED = [
+    *[(f"<div class='{name}'><article><p>x</p></article></div>", "x")
+      for name in ("has-sidebar", "content-with-sidebar", "page_nav", "related-topic", "menu", "sidebar")],
+    ("<div class='overlay'><main><p>x</p></main></div><div>y</div>", "x"),
+    ("<div>x</div><div class='sidebar'><article>y</article></div>", "x\ny"),
+    ("<div>x</div><div id='comments'><article>no</article></div>", "x"),
+    ("<article><p>a <span class='share-price'>5</span></p><p class='social-policy'>b</p></article>", "a 5\nb"),
+    ("<article>a <span class='share'>5</span><div class='share'>no</div></article>", "a 5"),
+    ("<body><form><div><p>x</p></div><label>no</label><input></form></body>", "x"),
+    ("<form><article>x</article></form><form>no</form>", "x"),
+    ("<body><form id='f'><div>all of the page</div></form><div>z</div></body>", "all of the page\nz"),
+    ("<article> </article><div>x</div>", "x"),
+    ("<div role='navigation'><ul><li>no</li></ul></div><div>x</div>", "x"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), FRAMED)
+def test_no_article_is_lost_by_the_names_around_it(page, text):
+    assert html_text.main_text(page) == text
