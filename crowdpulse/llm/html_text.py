@@ -20,6 +20,7 @@ from crowdpulse.llm.frames import cut, picked, rows_of
 
 LEAST_PAGES = 5
 SHARE = 0.5
+OWN_SHARE = 0.9
 SALTS = 32
 # Pages of one host that meet in a task: this many, or this part of all pages.
 HOST_ROWS, HOST_PARTS = 64, 10_000
@@ -38,11 +39,13 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
-# Content of its own, which other pages may quote: never a template inside an article.
+# Content of its own, which other pages may quote: inside an article a template only on nearly all pages.
 _TEXT = frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption "
     "figure figcaption address hr".split()
 ) | _INLINE
+# Never a template by themselves inside an article.
+_PARTS = frozenset("li dt dd thead tbody tfoot tr td th caption figcaption".split()) | _INLINE
 # Inline elements below these are parts of sentences.
 _SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption address".split())
 _ROLES = frozenset(
@@ -280,11 +283,14 @@ def _main(root: Node) -> list[Node]:
     return [root]
 
 
-def _candidates(root: Node) -> Iterator[Node]:
-    """Elements that may be templates: inside the article no text of its own, outside any but the frame.
+def _candidates(root: Node) -> Iterator[tuple[Node, int]]:
+    """Elements that may be templates, each with its key, which is odd for text blocks inside the article.
 
-    Elements without text (a line break, an empty paragraph) are none, nor are
-    parts of sentences: deleting those would change text around them.
+    So these count apart, and a paragraph that stands in the frame of some
+    pages and in the article of others is judged for each by itself. Elements
+    without text (a line break, an empty paragraph) are none, nor are parts of
+    sentences and, in the article, of lists and tables: deleting those would
+    change text around them.
     """
     inside = {id(node) for node in _main(root) if node is not root}
     stack = [(root, False, False)]
@@ -294,20 +300,23 @@ def _candidates(root: Node) -> Iterator[Node]:
         if node.tag in _HIDDEN or not node.size:
             continue
         if node.tag not in ("#page", "html", "body") and id(node) not in inside:
-            if not (own and node.tag in _TEXT or sentence and node.tag in _INLINE):
-                yield node
+            if own and node.tag in _TEXT:
+                if node.tag not in _PARTS:
+                    yield node, node.key | 1
+            elif not (sentence and node.tag in _INLINE):
+                yield node, node.key & ~1
         sentence = sentence and node.tag in _INLINE or node.tag in _SENTENCES
         stack.extend((c, own, sentence) for c in node.children if isinstance(c, Node))
 
 
 def template_keys(page: str | None) -> set[int]:
-    return {node.key for node in _candidates(parse(page))}
+    return {key for _, key in _candidates(parse(page))}
 
 
 def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
     """Text blocks of the article, joined by line feeds, without templates and page furniture."""
     root = parse(page)
-    removed = {id(n) for n in _candidates(root) if n.key in templates} if templates else set()
+    removed = {id(n) for n, key in _candidates(root) if key in templates} if templates else set()
     blocks: list[str] = []
     open_: list[str] = []
 
@@ -352,7 +361,7 @@ def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs, keys = [], []
         for page in batch.column("html"):
             root = parse(page.as_py())
-            keys.append(np.array(sorted({n.key for n in _candidates(root)}), dtype=np.int64))
+            keys.append(np.array(sorted({key for _, key in _candidates(root)}), dtype=np.int64))
             signs.append(_sign(root))
         columns = [batch.column("site"), pa.array(signs, pa.int64()), rows_of(keys, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["site", "sign", "keys"])
@@ -402,14 +411,19 @@ def host_of(url: F.Column) -> F.Column:
     return F.lower(host)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+def extract(
+    pages: DataFrame,
+    least_pages: int = LEAST_PAGES,
+    share: float = SHARE,
+    own_share: float = OWN_SHARE,
+) -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of `pages`.
 
     A subtree is a template if it stands on at least `least_pages` pages of
     its host and on at least `share` of them; pages with the same article (or
     without one the same whole) count once. Inside an article, paragraphs,
-    headings, lists and tables are content even where pages quote the same
-    ones. A null page counts as empty, an empty one has empty text. Pages
+    headings, lists and tables are templates only if they stand in the
+    articles of `own_share` of them. A null page counts as empty, an empty one has empty text. Pages
     without a host share the empty one, where nothing is a template. Repeated
     rows and null page ids are read like others. Only page_id, url and html
     take part.
@@ -437,7 +451,8 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, share: float = SHA
     parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
     known = sites.where(F.col("different") >= least_pages).select("*", parts)
     often = often.join(known, ["site", "part"])
-    often = often.where(F.col("pages") >= share * F.col("different"))
+    odd = F.col("key").bitwiseAND(F.lit(1)) == 1
+    often = often.where(F.col("pages") >= F.when(odd, own_share).otherwise(share) * F.col("different"))
     # As each stands on that share, a host has no more of them than a few pages have elements.
     templates = often.groupBy("site", "salts").agg(F.collect_list("key").alias("keys"))
     salt = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")

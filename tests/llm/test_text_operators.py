@@ -286,3 +286,18 @@ FRAMED = [
 @pytest.mark.parametrize(("page", "text"), FRAMED)
 def test_no_article_is_lost_by_the_names_around_it(page, text):
     assert html_text.main_text(page) == text
+
+
+def test_text_blocks_on_nearly_all_pages_are_deleted_inside_articles(spark):
+    notice, often = "<p>Subscribe <b>now</b></p><ul><li>one</li><li>offer</li></ul>", "<p>quoted</p>"
+    table = "<table><tr><th>Name</th><td>{}</td></tr></table>"
+    page = "<article><h1>t{0}</h1>{1}<p>own<br>{0}</p>{2}</article>"
+    rows = [
+        (i, "http://h.org/", page.format(i, often * (i < 16), table.format(i)).replace("</h1>", f"</h1>{notice * (i > 0)}"))
+        for i in range(20)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got[0] == "t0\nquoted\nown 0\nName\n0"
+    assert all(got[i] == f"t{i}\nquoted\nown {i}\nName\n{i}" for i in range(1, 16))
+    assert all(got[i] == f"t{i}\nown {i}\nName\n{i}" for i in range(16, 20))
