@@ -105,9 +105,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One set of a kind per document, whose rows lie in one partition."""
+    seen: set[bytes] = set()
     for batch in batches:
-        sets = [s.view(np.int64) for s in shingle_sets(batch.column("text").to_pylist())]
-        columns = [batch.column("doc_id"), rows_of(sets, pa.int64())]
+        ids, sets = [], []
+        texts = shingle_sets(batch.column("text").to_pylist())
+        for doc_id, shingles in zip(batch.column("doc_id").to_pylist(), texts):
+            raw = shingles.tobytes()
+            key = blake2b(raw, digest_size=16, salt=doc_id.to_bytes(8, "little", signed=True)).digest()
+            if key not in seen:
+                seen.add(key)
+                ids.append(doc_id)
+                sets.append(shingles.view(np.int64))
+        columns = [pa.array(ids, pa.int64()), rows_of(sets, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles"])
 
 
@@ -211,6 +221,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     # Whole sets are made once more, only for documents that share a bucket with others.
     wanted = mass.select(F.col("id").alias("doc_id"))
     sets = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+    # Copies under one doc_id would multiply its pairs. They lie in one partition, so no second shuffle.
+    sets = sets.select("doc_id", "text").distinct()
     sets = cut(sets.mapInArrow(_sets, "id long, shingles array<long>"))
     links = cut(_confirmed(cut(close.select("a", "b").distinct()), sets, percent).distinct())
     free(documents.sparkSession)

@@ -230,3 +230,23 @@ def test_pipeline_equals_its_stages_by_hand(spark, tmp_path, sf_dir):
         assert r.offset == ends[r.sequence_id]
         ends[r.sequence_id] += r.length
     assert max(ends.values()) <= 4096
+
+
+def test_repeated_rows_of_a_document_make_one_set(spark, monkeypatch):
+    """Equal texts, and texts of equal words, under one doc_id: each pair is compared once."""
+    from crowdpulse.llm import near_dedup
+
+    words = [f"w{i}" for i in range(120)]
+    one, two = " ".join(words), " ".join([*words[:-1], "v"])
+    rows = [(1, one)] * 20 + [(2, two)] * 20 + [(1, f" {one.upper()}\n")] * 5 + [(3, "x y z")]
+    seen = []
+    confirmed = near_dedup._confirmed
+
+    def watched(pairs, sets, percent):
+        seen.append(Counter(row.id for row in sets.select("id").collect()))
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", watched)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == {(1, 1): 25, (2, 1): 20, (3, 3): 1}
+    assert seen and all(counts == {1: 1, 2: 1} for counts in seen)
