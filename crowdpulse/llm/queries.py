@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crowdpulse.llm.byte_pairs import digests as byte_pair_digests
 from crowdpulse.llm.chat import ROTATE_SQL, rotate
 from crowdpulse.llm.fingerprints import compare_neighbours
 from crowdpulse.llm.html_text import extract
+from crowdpulse.llm.merkle import manifest
 from crowdpulse.llm.near_dedup import near_duplicates
 from crowdpulse.llm.packing import pack
 from crowdpulse.llm.piece_digests import digests
@@ -16,6 +18,7 @@ from crowdpulse.llm.quality_model import quality_scores
 from crowdpulse.llm.quality_rules import rules
 from crowdpulse.llm.secrets import scan
 from crowdpulse.llm.sharding import shard
+from crowdpulse.llm.spelling import variants
 
 
 def tokenizer(name: str) -> str:
@@ -74,6 +77,18 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pair_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -85,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_rules": op9_rules,
     "op10_html": op10_html,
+    "op11_manifest": op11_manifest,
+    "op12_spelling": op12_spelling,
+    "op13_byte_pairs": op13_byte_pairs,
 }
 
 ORACLE: dict[str, str] = {"op5_chat": ROTATE_SQL}
