@@ -18,7 +18,7 @@ from crowdpulse.functions import refresh_text
 from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import LISTING_DEFAULT, REFRESH_DEFAULT
 from crowdpulse.session import build_session
-from crowdpulse.streaming.aggregates import every
+from crowdpulse.streaming.run import every
 
 
 def parse(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -31,10 +31,9 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 
 def show_once(spark: SparkSession, args: argparse.Namespace, echo: Callable[[str], None]) -> None:
-    tables = args.tables.rstrip("/")
     now = spark.range(1).select(refresh_text(F.current_timestamp())).first()[0]
     echo(f"refreshed {now}")
-    for name, frame in Dashboard(spark, f"{tables}/tallies", f"{tables}/latest").refresh(args.limit).items():
+    for name, frame in Dashboard(spark, args.tables).refresh(args.limit).items():
         rows = frame.toPandas()  # each frame is bounded: see Dashboard
         echo(f"\n{name}\n{rows.to_string(index=False) if len(rows) else '(nothing yet)'}")
 

@@ -1,4 +1,4 @@
-"""Takes in messages, fills all sinks and keeps the aggregates current.
+"""Takes in messages, fills all sinks and keeps the statistics current.
 
     spark-submit --packages <connectors> --py-files crowdpulse.zip crowdpulse/jobs/ingest.py \\
         --source-option kafka.bootstrap.servers=broker:9092 --source-option subscribe=users \\
@@ -7,7 +7,8 @@
         --table-option keyspace=analytics --table-option table=users \\
         --tables s3a://bucket/users --checkpoints s3a://bucket/progress
 
-Every query has its own checkpoint. The job ends when one of them does, and
+Every query has its own checkpoint. The one that fills the users table also keeps
+its statistics and newest users, in the same micro-batches. The job ends when one of them does, and
 fails if that one failed, so that a supervisor can start it again.
 """
 
@@ -21,10 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.jobs.arguments import add_format, pairs
 from crowdpulse.operators.messages import flatten_users, quarantine
-from crowdpulse.schemas import REFRESH_DEFAULT
 from crowdpulse.session import build_session
 from crowdpulse.sources.topic import message_stream
-from crowdpulse.streaming.aggregates import every, start_tallies
 from crowdpulse.streaming.run import (
     DRAIN,
     await_all,
@@ -50,9 +49,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     add_format(parser, "table", None)
     parser.add_argument("--tables", required=True, help="folder of the users table and snapshots")
     parser.add_argument("--checkpoints", required=True)
-    parser.add_argument("--refresh", type=int, default=REFRESH_DEFAULT, help="seconds, 5..60")
     parser.add_argument("--every", type=int, help="seconds between micro-batches of the sinks; else none")
-    parser.add_argument("--replay-horizon", help="e.g. '7 days': count a replayed user once")
     parser.add_argument("--shared", action="store_true", help="parse once for all sinks")
     parser.add_argument("--debug", action="store_true", help="show rows of every micro-batch")
     parser.add_argument("--drain", action="store_true", help="take in what is there, then end")
@@ -63,7 +60,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     messages = message_stream(spark, args.source_format, pairs(args.source_option))
     users = flatten_users(messages, with_arrival=True)
     tables, progress = args.tables.rstrip("/"), args.checkpoints.rstrip("/")
-    sinks = [keyed_sink(f"{tables}/users", f"{tables}/latest")]
+    sinks = [keyed_sink(f"{tables}/users", tables)]
     for name, fmt, options, prepare in (
         ("documents", args.documents_format, args.documents_option, documents),
         ("table", args.table_format, args.table_option, keyed_rows),
@@ -81,19 +78,6 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
 
     bad = quarantine_sink(f"{tables}/quarantine")
     queries.append(start_sink(quarantine(messages), bad, progress, trigger))
-
-    counted = flatten_users(messages, ("user_id", "country", "gender", "age", "ingestion_time"))
-    refresh = DRAIN if args.drain else every(args.refresh)
-    queries.append(
-        start_tallies(
-            counted,
-            f"{tables}/tallies",
-            f"{progress}/tallies",
-            refresh,
-            args.replay_horizon,
-            f"{tables}/country_stats",
-        )
-    )
     return queries
 
 

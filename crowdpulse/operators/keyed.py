@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,35 +23,3 @@ def last_write(log: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
 def first_arrival(log: DataFrame, order: tuple[str, ...] = ARRIVAL) -> DataFrame:
     """The earliest copy per key."""
     return _first_by(log, [F.asc(name) for name in order])
-
-
-def thin_replays(users: DataFrame) -> DataFrame:
-    """Keeps the first copy of a key within each Arrow batch, without a shuffle.
-
-    Streaming de-duplication has no partial step of its own: all copies of one
-    key meet in one task. This cuts them down before that shuffle. It only ever
-    drops a row whose key stays in the same batch.
-    """
-    keys = list(USER_KEY)
-
-    # Nested, so that it travels by value and executors need not have the package.
-    def first_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = pa.array(np.arange(batch.num_rows))
-            table = pa.Table.from_batches([batch]).select(keys).append_column("place", places)
-            first = table.group_by(keys, use_threads=False).aggregate([("place", "min")])
-            yield batch.take(first["place_min"].combine_chunks().sort())
-
-    return users.mapInArrow(first_per_key, users.schema)
-
-
-def drop_replays(users: DataFrame, horizon: str) -> DataFrame:
-    """Streaming: the first arrival of each key, over replays up to `horizon` late.
-
-    State is bounded by `horizon`. Rows older than the newest event minus
-    `horizon` are dropped, so choose it well above the longest replay gap.
-    """
-    keyed = thin_replays(users.dropna(subset=list(USER_KEY)))
-    return keyed.withWatermark("ingestion_time", horizon).dropDuplicatesWithinWatermark(
-        list(USER_KEY)
-    )

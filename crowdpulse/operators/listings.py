@@ -43,15 +43,17 @@ def latest_of_log(log: DataFrame, order: tuple[str, ...], limit: int = LISTING_D
     """The newest rows of a log that may hold a key many times, as last written.
 
     Resolving the whole log first would shuffle all of it for at most 50 rows.
-    The newest keys come first, from two columns; they are at most `limit` rows,
-    hence the broadcast, and only their copies are resolved. Order columns are kept.
+    Each stamp holds a key, so the newest keys are not older than the last of
+    the `limit` newest stamps; that bound reaches the scan, and only keys above it
+    are told apart. They are at most `limit` rows, hence the broadcast, and only
+    their copies are resolved. Order columns are kept.
     """
-    newest_keys = (
-        log.select(*USER_KEY)
-        .distinct()
-        .orderBy(F.desc("ingestion_time"), "user_id")
-        .limit(_check_limit(limit))
-    )
+    stamps = log.select("ingestion_time").distinct()
+    stamps = stamps.orderBy(F.desc("ingestion_time")).limit(_check_limit(limit))
+    bound = stamps.agg(F.min("ingestion_time")).first()[0]
+    if bound is not None:
+        log = log.where(F.col("ingestion_time") >= F.lit(bound))
+    newest_keys = log.select(*USER_KEY).distinct().orderBy(F.desc("ingestion_time"), "user_id").limit(limit)
     copies = log.join(F.broadcast(newest_keys), list(USER_KEY), "left_semi")
     return last_write(copies, order)
 

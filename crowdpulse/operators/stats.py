@@ -70,12 +70,12 @@ def avg_age_text_kpi(stats: DataFrame) -> DataFrame:
 # --- tallies: one small aggregate from which every KPI of a refresh derives ---
 
 
-def tallies(users: DataFrame) -> DataFrame:
-    """Users per (country, gender) with the parts of a mean that can be merged.
+def tallies(users: DataFrame, *per: str) -> DataFrame:
+    """Users per (country, gender), and further columns, with the parts of a mean that can be merged.
 
     `count_users * avg_age` could not be merged: ages may be missing.
     """
-    return users.groupBy("country", "gender").agg(
+    return users.groupBy(*per, "country", "gender").agg(
         F.count("*").alias("n"),
         F.sum("age").alias("age_sum"),
         F.count("age").alias("age_n"),
@@ -83,6 +83,16 @@ def tallies(users: DataFrame) -> DataFrame:
     )
 
 
+def merged_tallies(rows: DataFrame) -> DataFrame:
+    """Tallies of parts of the users as tallies of all."""
+    return rows.groupBy("country", "gender").agg(
+        F.sum("n").alias("n"),
+        F.sum("age_sum").alias("age_sum"),
+        F.sum("age_n").alias("age_n"),
+        F.max("last_update").alias("last_update"),
+    )
+
+
 def genders_from_tallies(rows: DataFrame) -> DataFrame:
     return rows.groupBy("gender").agg(F.sum("n").alias("count"))
 

@@ -1,41 +1,31 @@
-"""All results of one dashboard refresh, taken from one snapshot."""
+"""All results of one dashboard refresh, taken from one state of the users table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crowdpulse.operators.listings import top_age_countries, top_countries, user_listing
-from crowdpulse.operators.stats import (
-    countries_from_tallies,
-    gender_share,
-    genders_from_tallies,
-    kpis_from_tallies,
-)
+from crowdpulse.operators.stats import gender_share, genders_from_tallies, kpis_from_tallies
 from crowdpulse.schemas import LISTING_DEFAULT
-from crowdpulse.streaming.aggregates import tallies_table
-from crowdpulse.streaming.sinks import LatestUsers
+from crowdpulse.streaming.views import Views
 
 
 class Dashboard:
-    """Reads a pinned tallies snapshot and the carried newest users.
+    """Reads the published views of a users table, all under one id.
 
     Each frame is bounded (KPIs, ten countries, genders, at most 50 users) and
     comes from a few stored rows, so a refresh costs the same at any table size.
     """
 
-    def __init__(self, spark: SparkSession, tallies_path: str, latest_path: str | None = None):
-        self.tallies = tallies_table(spark, tallies_path)
-        self.latest = LatestUsers(spark, latest_path) if latest_path else None
+    def __init__(self, spark: SparkSession, path: str):
+        self.views = Views(spark, path)
 
     def refresh(self, limit: int = LISTING_DEFAULT) -> dict[str, DataFrame]:
-        snapshot = self.tallies.read_latest()
-        stats = countries_from_tallies(snapshot)
-        frames = {
-            "kpis": kpis_from_tallies(snapshot),
-            "top_countries": top_countries(stats),
-            "top_age_countries": top_age_countries(stats),
-            "gender_share": gender_share(genders_from_tallies(snapshot)),
+        state = self.views.read(limit)
+        return {
+            "kpis": kpis_from_tallies(state["tallies"]),
+            "top_countries": top_countries(state["country_stats"]),
+            "top_age_countries": top_age_countries(state["country_stats"]),
+            "gender_share": gender_share(genders_from_tallies(state["tallies"])),
+            "latest_users": user_listing(state["latest_users"]),
         }
-        if self.latest:
-            frames["latest_users"] = user_listing(self.latest.read(limit))
-        return frames

@@ -113,6 +113,34 @@ _OVER_USERS = {
         FROM stats
     """,
     "dashboard_latest": _LISTING,
+    "dashboard_charts": """
+        SELECT * FROM (SELECT 'top_countries' AS chart, country AS label, CAST(count_users AS DOUBLE) AS value
+                       FROM stats ORDER BY count_users DESC, country LIMIT 10)
+        UNION ALL
+        SELECT * FROM (SELECT 'top_age_countries', country, round(avg_age, 6)
+                       FROM stats ORDER BY avg_age DESC NULLS LAST, country LIMIT 10)
+        UNION ALL
+        SELECT 'gender_share', gender, round(count(*) / sum(count(*)) OVER (), 6) FROM users GROUP BY gender
+    """,
+    "sink_new_checkpoint": """
+        SELECT CAST(d.delivery AS INT) AS delivery, s.sink, count(*) AS n
+        FROM users JOIN (VALUES (0), (1), (2)) AS d(delivery)
+             ON CAST(user_id AS BIGINT) % 3 <= d.delivery
+             CROSS JOIN (VALUES ('documents'), ('users')) AS s(sink)
+        GROUP BY d.delivery, s.sink
+    """,
+    "statistics_exact": """
+        SELECT country, count(*) AS count_users, avg(age) AS avg_age, max(ingestion_time) AS last_update
+        FROM (
+          SELECT CASE WHEN CAST(user_id AS BIGINT) % 5 = 0 THEN 'ELSEWHERE' ELSE country END AS country,
+                 age + CASE WHEN CAST(user_id AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END AS age, ingestion_time
+          FROM users
+          UNION ALL
+          SELECT country, age + CASE WHEN CAST(user_id AS BIGINT) % 3 = 0 THEN 1 ELSE 0 END,
+                 ingestion_time - INTERVAL 1 DAY
+          FROM users WHERE CAST(user_id AS BIGINT) % 5 = 1
+        ) WHERE country IS NOT NULL GROUP BY country
+    """,
 }
 
 ORACLE = {key: _USERS + sql for key, sql in _OVER_USERS.items()}

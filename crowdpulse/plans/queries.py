@@ -28,20 +28,14 @@ from crowdpulse.session import input_bytes, size_shuffles
 from crowdpulse.sources.scratch import discard, new_folder
 from crowdpulse.sources.tables import BatchFolders, UsersTable, create_tables
 from crowdpulse.sources.topic import message_batch, message_stream, publish, publish_to_files
-from crowdpulse.streaming.aggregates import (
-    country_stats_table,
-    start_country_stats,
-    start_tallies,
-)
 from crowdpulse.streaming.run import DRAIN, await_all, drain, start_shared_fan_out
-from crowdpulse.streaming.sinks import LatestUsers, Sink, append_sink, debug_sink, keyed_sink
+from crowdpulse.streaming.sinks import Sink, append_sink, debug_sink, keyed_sink, stored
+from crowdpulse.streaming.views import Views, country_stats_table
 
 log = logging.getLogger(__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Longer than any span of stamps in the tables: no replay in them is too late.
-REPLAY_HORIZON = "36500 days"
 # Offsets of a second publication start here, above all of the first.
 SECOND_ROUND = 1 << 60
 
@@ -98,7 +92,7 @@ def src_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _staged(spark, sf_dir) as (topic, progress):
         users = _user_stream(spark, topic)
         drain(users, [append_sink("parquet", {"path": out})], progress)
-    return _users_edge(spark.read.schema(users.schema).parquet(out))
+    return _users_edge(stored(spark, "parquet", {"path": out}, users.schema))
 
 
 def scan_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +104,9 @@ def scan_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_country_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = country_stats_table(spark, new_folder(spark, "country-stats"))
-    stored.write(stats.country_stats(fixture.users(spark, sf_dir)), 0)
-    return _stats_edge(stored.read_latest())
+    snapshots = country_stats_table(spark, new_folder(spark, "country-stats"))
+    snapshots.write(stats.country_stats(fixture.users(spark, sf_dir)), 0)
+    return _stats_edge(snapshots.read_latest())
 
 
 def ddl_users_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +283,7 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _staged(spark, sf_dir) as (topic, progress):
         users = _user_stream(spark, topic)
         drain(users, [append_sink("json", {"path": out})], progress)
-    return spark.read.schema(users.schema).json(out).select(*STORED)
+    return stored(spark, "json", {"path": out}, users.schema).select(*STORED)
 
 
 def sink_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,14 +304,14 @@ def _three_sinks(spark: SparkSession, sf_dir: str, start) -> DataFrame:
     with _staged(spark, sf_dir) as (topic, progress):
         users = _user_stream(spark, topic)
         start(users, sinks, progress)
-    stored = {
+    kept = {
         "debug": _batches(spark, users, paths["debug"]),
-        "append": spark.read.schema(users.schema).json(paths["append"]),
+        "append": stored(spark, "json", {"path": paths["append"]}, users.schema),
         "keyed": UsersTable(spark, paths["keyed"]).current(),
     }
     counts = [
         rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n")
-        for name, rows in stored.items()
+        for name, rows in kept.items()
     ]
     return reduce(DataFrame.unionAll, counts)
 
@@ -366,48 +360,115 @@ def restart_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UsersTable(spark, path).entries().select(*STORED)
 
 
-# --- streaming aggregates ---------------------------------------------------
+def _third(feed: DataFrame, number: int) -> DataFrame:
+    return feed.where(F.col("user_id").cast("long") % 3 == number)
+
+
+def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and users after each of three deliveries: a query each, new checkpoints, one for both."""
+    documents, users_path = new_folder(spark, "documents"), new_folder(spark, "users")
+    sinks = [append_sink("json", {"path": documents}), keyed_sink(users_path)]
+    feed, counts = fixture.user_feed(spark, sf_dir), []
+    for number in range(3):
+        topic, progress = _topic(spark, _third(feed, number)), new_folder(spark, "progress")
+        users = _user_stream(spark, topic)
+        if number < 2:
+            drain(users, sinks, progress)
+        else:
+            await_all([start_shared_fan_out(users, sinks, progress, DRAIN)])
+        rows = {
+            "documents": stored(spark, "json", {"path": documents}, users.schema),
+            "users": UsersTable(spark, users_path).current(),
+        }
+        for name, kept in rows.items():
+            # Counted now: the next delivery changes what is stored.
+            n = F.lit(kept.count()).alias("n")
+            counts.append(spark.range(1).select(F.lit(number).alias("delivery"), F.lit(name).alias("sink"), n))
+        discard(spark, topic)
+        discard(spark, progress)
+    return reduce(DataFrame.unionAll, counts)
+
+
+# --- views kept beside the users table --------------------------------------
+
+
+def _kept_views(spark: SparkSession, topic: str, progress: str, root: str) -> Views:
+    drain(_user_stream(spark, topic), [keyed_sink(f"{root}/users", root)], progress)
+    return Views(spark, root)
 
 
 def country_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "country-stats")
     with _staged(spark, sf_dir) as (topic, progress):
-        columns = ("user_id", "country", "age", "ingestion_time")
-        users = flatten_users(_stream(spark, topic), columns)
-        await_all([start_country_stats(users, path, progress, DRAIN)])
-    return _stats_edge(country_stats_table(spark, path).read_latest())
+        views = _kept_views(spark, topic, progress, new_folder(spark, "tables"))
+    return _stats_edge(views.countries.read_latest())
 
 
 def country_stats_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a topic that is published again in between: the replay changes nothing."""
-    path = new_folder(spark, "country-stats")
+    root = new_folder(spark, "tables")
     with _staged(spark, sf_dir) as (topic, progress):
-        columns = ("user_id", "country", "age", "ingestion_time")
-        users = flatten_users(_stream(spark, topic), columns)
-        await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
+        _kept_views(spark, topic, progress, root)
         replay = fixture.messages(fixture.user_feed(spark, sf_dir))
         publish_to_files(replay, topic, first_offset=SECOND_ROUND)
-        await_all([start_country_stats(users, path, progress, DRAIN, REPLAY_HORIZON)])
-    return _stats_edge(country_stats_table(spark, path).read_latest())
+        views = _kept_views(spark, topic, progress, root)
+    return _stats_edge(views.countries.read_latest())
+
+
+def statistics_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country statistics after changed, late and replayed rows, a new checkpoint and a compaction.
+
+    A third of the users comes first. With a new checkpoint come all of them, the
+    first third a year older; a last run moves every fifth user to another
+    country and brings stamps an hour before all others.
+    """
+    root = new_folder(spark, "tables")
+    feed = fixture.user_feed(spark, sf_dir)
+    key = F.col("user_id").cast("long")
+    older = feed.withColumn("age", F.col("age") + F.when(key % 3 == 0, 1).otherwise(0))
+    moved = older.where(key % 5 == 0).withColumn("country", F.lit("ELSEWHERE"))
+    late = older.where(key % 5 == 1).withColumn("ingestion_timestamp", F.col("ingestion_timestamp") - 86_400)
+    for rows in (_third(feed, 0), older, moved.unionByName(late)):
+        topic, progress = _topic(spark, rows), new_folder(spark, "progress")
+        views = _kept_views(spark, topic, progress, root)
+        UsersTable(spark, f"{root}/users").compact()
+        discard(spark, topic)
+        discard(spark, progress)
+    return _stats_edge(views.read()["country_stats"])
 
 
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic -> tallies snapshot -> the KPI row."""
-    path = new_folder(spark, "tallies")
+    """Topic -> users table with its views -> the KPI row."""
+    root = new_folder(spark, "tables")
     with _staged(spark, sf_dir) as (topic, progress):
-        columns = ("user_id", "country", "gender", "age", "ingestion_time")
-        users = flatten_users(_stream(spark, topic), columns)
-        await_all([start_tallies(users, path, progress, DRAIN)])
-    return _rounded(Dashboard(spark, path).refresh()["kpis"], "avg_age")
+        _kept_views(spark, topic, progress, root)
+    return _rounded(Dashboard(spark, root).refresh()["kpis"], "avg_age")
 
 
 def dashboard_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic -> users table with its newest rows carried along -> the listing."""
-    latest = new_folder(spark, "latest")
+    root = new_folder(spark, "tables")
     with _staged(spark, sf_dir) as (topic, progress):
-        sink = keyed_sink(new_folder(spark, "users"), latest)
-        drain(_user_stream(spark, topic), [sink], progress)
-    return _edge(listings.user_listing(LatestUsers(spark, latest).read()), "Date d'ingestion")
+        _kept_views(spark, topic, progress, root)
+    return _edge(Dashboard(spark, root).refresh()["latest_users"], "Date d'ingestion")
+
+
+def dashboard_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the charts of one refresh: ten countries by users, ten by mean age, the genders."""
+    root = new_folder(spark, "tables")
+    with _staged(spark, sf_dir) as (topic, progress):
+        _kept_views(spark, topic, progress, root)
+    frames = Dashboard(spark, root).refresh()
+    value = {"top_countries": "count_users", "top_age_countries": "avg_age", "gender_share": "share"}
+    label = {"gender_share": "gender"}
+    charts = [
+        frames[name].select(
+            F.lit(name).alias("chart"),
+            F.col(label.get(name, "country")).alias("label"),
+            F.round(F.col(column).cast("double"), 6).alias("value"),
+        )
+        for name, column in value.items()
+    ]
+    return reduce(DataFrame.unionAll, charts)
 
 
 _QUERIES: dict[str, Query] = {
@@ -456,6 +517,9 @@ _QUERIES: dict[str, Query] = {
     "country_stats_latest": country_stats_latest,
     "dashboard_kpis": dashboard_kpis,
     "dashboard_latest": dashboard_latest,
+    "dashboard_charts": dashboard_charts,
+    "sink_new_checkpoint": sink_new_checkpoint,
+    "statistics_exact": statistics_exact,
 }
 
 
@@ -480,6 +544,9 @@ _WIDE = {
     "country_stats_latest",
     "dashboard_kpis",
     "dashboard_latest",
+    "dashboard_charts",
+    "sink_new_checkpoint",
+    "statistics_exact",
 }
 
 

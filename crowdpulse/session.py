@@ -1,22 +1,9 @@
-"""Session settings for the jobs, and the state-store setting for stateful queries."""
+"""Session settings for the jobs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
-STATE_STORE = {
-    # State on local disk with changelog uploads: it may outgrow the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Counting all keys costs a lookup per write.
-    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-}
-
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -29,12 +16,11 @@ DEFAULTS = {
 def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
     """A session with the defaults above; `settings` wins over them.
 
-    `spark.sql.shuffle.partitions` is left to the submitter: a stateful query
-    keeps the value of its first start for ever, so choose it for the cluster,
-    or for the data with `size_shuffles`.
+    `spark.sql.shuffle.partitions` is left to the submitter: choose it for the
+    cluster, or for the data with `size_shuffles`.
     """
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **STATE_STORE, **(settings or {})}.items():
+    for key, value in {**DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -42,8 +28,6 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
 # Users as parquet are about a fifth of their shuffled JSON text.
 INPUT_PER_PARTITION = 32 << 20
 MOST_PARTITIONS = 50_000
-# State of a few hundred groups needs no more tasks and files than this per batch.
-GROUP_STATE_PARTITIONS = 32
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _OWN_PARTITIONS = "spark.crowdpulse.own.shuffle.partitions"
@@ -61,36 +45,13 @@ def size_shuffles(spark: SparkSession, size: int) -> int:
     """Shuffle partitions for a query that shuffles `size` bytes of input; 0 for one that does not.
 
     Adaptive execution merges small partitions but cannot add any for an
-    aggregate or a window, and stateful streams do not adapt at all, so a whole
-    table needs more of them before planning. A query that shuffles a row per
-    group does not: every map task would index partitions that stay empty. The
-    session's own number is the least, and what a size of 0 returns to.
+    aggregate or a window, so a whole table needs more of them before planning.
+    A query that shuffles a row per group does not: every map task would index
+    partitions that stay empty. The session's own number is the least, and what
+    a size of 0 returns to.
     """
     own = int(spark.conf.get(_OWN_PARTITIONS, None) or spark.conf.get(_PARTITIONS))
     spark.conf.set(_OWN_PARTITIONS, own)
     wanted = max(own, min(-(-size // INPUT_PER_PARTITION), MOST_PARTITIONS))
     spark.conf.set(_PARTITIONS, wanted)
     return wanted
-
-
-@contextmanager
-def state_settings(spark: SparkSession, per_group: bool) -> Iterator[None]:
-    """Start stateful queries inside this block: they copy the settings at start.
-
-    `per_group` says that the state holds a row per group, not per user.
-    """
-    wanted = dict(STATE_STORE)
-    if per_group:
-        present = int(spark.conf.get(_PARTITIONS))
-        wanted[_PARTITIONS] = str(min(present, GROUP_STATE_PARTITIONS))
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

@@ -32,8 +32,31 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a folder this package wrote; nothing happens if it is not there."""
+def _file_system(spark: SparkSession, path: str) -> tuple:
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder this package wrote; nothing happens if it is not there."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it."""
+    target, files = _file_system(spark, path)
+    files.create(target, True).close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    target, files = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match, if any."""
+    target, files = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in files.globStatus(target) or []]

@@ -1 +1 @@
-"""Streaming queries: sinks, fan-out, waiting, and the maintained aggregates."""
+"""Streaming queries: sinks, fan-out, waiting, and the views of the users table."""

@@ -8,11 +8,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from crowdpulse.schemas import REFRESH_DEFAULT, REFRESH_MAX, REFRESH_MIN
 from crowdpulse.streaming.sinks import Sink
 
 DRAIN = {"availableNow": True}
 
 
+def every(seconds: int = REFRESH_DEFAULT) -> dict[str, str]:
+    """The trigger of a periodic refresh."""
+    if not REFRESH_MIN <= seconds <= REFRESH_MAX:
+        raise ValueError(f"refresh must be {REFRESH_MIN}..{REFRESH_MAX} s, got {seconds}")
+    return {"processingTime": f"{seconds} seconds"}
+
+
 def stream_writer(df: DataFrame, mode: str, checkpoint: str, trigger: dict | None) -> DataStreamWriter:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger) if trigger else writer

@@ -8,17 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from crowdpulse.operators.listings import latest_of_log, latest_users
 from crowdpulse.operators.messages import usable
-from crowdpulse.schemas import LISTING_DEFAULT, LISTING_MAX, USER_COLUMNS
-from crowdpulse.sources.tables import (
-    SNAPSHOTS_KEPT,
-    USERS_LOG,
-    WRITE_ORDER,
-    BatchFolders,
-    SnapshotTable,
-    UsersTable,
-)
+from crowdpulse.schemas import USER_COLUMNS
+from crowdpulse.sources.tables import BatchFolders, UsersTable
+from crowdpulse.streaming.views import Views
 
 FILE_FORMATS = ("parquet", "json", "orc", "csv")
 
@@ -85,58 +78,51 @@ def append_sink(
 ) -> Sink:
     """Appends every row to a file folder or, by its connector's format, to a store.
 
+    A file folder holds one folder per micro-batch, numbered by its ledger, in a
+    query of its own as in a shared one. Spark's file sink numbers them by the
+    checkpoint alone: with a new one it skips what it thinks is stored, and its log
+    hides folders that it didn't write. `stored` reads the finished ones.
     A keyed store such as Cassandra overwrites a row whose key comes again.
     """
+    if fmt in FILE_FORMATS:
+        return Sink(name, _file_writer(fmt, options), prepare=prepare)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if fmt in FILE_FORMATS:
-            folders = BatchFolders(batch.sparkSession, options["path"], batch.schema)
-            path = folders.folder(folders.own_id(batch_id))
-            rest = {key: value for key, value in options.items() if key != "path"}
-            batch.write.format(fmt).options(**rest).mode("overwrite").save(path)
-        else:
-            batch.write.format(fmt).options(**options).mode("append").save()
+        batch.write.format(fmt).options(**options).mode("append").save()
 
     return Sink(name, write, stream_format=fmt, options=options, prepare=prepare)
 
 
-def keyed_sink(path: str, latest_path: str | None = None, name: str = "keyed") -> Sink:
-    """Upserts into a users table; with `latest_path` it also keeps the newest rows at hand."""
+def _folders(spark: SparkSession, fmt: str, options: dict[str, str], schema: T.StructType) -> BatchFolders:
+    rest = {key: value for key, value in options.items() if key != "path"}
+    return BatchFolders(spark, options["path"], schema, fmt, rest)
 
+
+def _file_writer(fmt: str, options: dict[str, str]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = UsersTable(batch.sparkSession, path)
-        own = table.log.own_id(batch_id)
-        table.append(batch, own)
-        if latest_path:
-            LatestUsers(batch.sparkSession, latest_path).advance(table, own)
+        folders = _folders(batch.sparkSession, fmt, options, batch.schema)
+        folders.write(batch, folders.own_id(batch_id))
 
-    return Sink(name, write)
+    return write
 
 
-class LatestUsers:
-    """The newest users, carried from batch to batch.
+def stored(spark: SparkSession, fmt: str, options: dict[str, str], schema: T.StructType) -> DataFrame:
+    """The rows that an append sink to files has finished, each micro-batch once."""
+    folders = _folders(spark, fmt, options, schema)
+    return folders.read(folders.complete()).drop("batch_id")
 
-    A refresh then reads 50 rows, not the table. Exact: a new batch adds keys or
-    rewrites them, so the newest of (old newest + batch) are the newest of all.
-    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        written = T.StructField("written", T.LongType())
-        schema = T.StructType([*USERS_LOG.fields, written])
-        self.table = SnapshotTable(spark, path, schema, keep=SNAPSHOTS_KEPT)
-
-    def advance(self, users: UsersTable, batch_id: int) -> None:
-        # Reads the stored batch, so the messages are not parsed again.
-        entries = users.log.read([batch_id])
-        before = self.table.latest_id(before=batch_id)
-        if before is not None:
-            old = self.table.read([before]).drop("batch_id")
-            entries = entries.unionByName(old.withColumnRenamed("written", "batch_id"))
-        newest = latest_of_log(entries, WRITE_ORDER, LISTING_MAX)
-        self.table.write(newest.withColumnRenamed("batch_id", "written"), batch_id)
-
-    def read(self, limit: int = LISTING_DEFAULT) -> DataFrame:
-        return latest_users(self.table.read_latest(), limit)
+def keyed_sink(path: str, views_path: str | None = None, name: str = "keyed") -> Sink:
+    """Upserts into a users table; with `views_path` it also keeps its views: see Views."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = UsersTable(batch.sparkSession, path)
+        own = table.log.own_id(batch_id)
+        table.append(batch, own)
+        if views_path:
+            Views(batch.sparkSession, views_path).advance(table, own)
+
+    return Sink(name, write)
 
 
 def quarantine_sink(path: str, name: str = "quarantine") -> Sink:

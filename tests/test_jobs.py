@@ -12,12 +12,11 @@ from crowdpulse.session import (
     MOST_PARTITIONS,
     input_bytes,
     size_shuffles,
-    state_settings,
 )
 from crowdpulse.sources.scratch import shared_root
 from crowdpulse.sources.tables import UsersTable
 from crowdpulse.sources.topic import message_batch, publish_to_files
-from crowdpulse.streaming.aggregates import country_stats_table
+from crowdpulse.streaming.views import country_stats_table
 
 
 @pytest.fixture
@@ -41,7 +40,7 @@ def topic(spark, folder):
     return folder("topic")
 
 
-@pytest.mark.parametrize("more", [["--shared"], ["--replay-horizon", "7 days"]])
+@pytest.mark.parametrize("more", [["--shared"], ["--debug"]])
 def test_ingest_then_dashboard(spark, topic, folder, more):
     args = ingest.parse(
         ["--source-format", "parquet", "--source-option", f"path={topic}",
@@ -121,10 +120,6 @@ def test_shuffle_partitions_follow_the_input(spark, folder):
         assert size_shuffles(spark, 1) == own
         assert size_shuffles(spark, 100 * INPUT_PER_PARTITION + 1) == 101
         assert spark.conf.get(key) == "101"
-        with state_settings(spark, per_group=True):
-            assert spark.conf.get(key) == "32"
-        with state_settings(spark, per_group=False):
-            assert spark.conf.get(key) == "101"
         assert size_shuffles(spark, 1 << 60) == MOST_PARTITIONS
     finally:
         assert size_shuffles(spark, 0) == own

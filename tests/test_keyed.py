@@ -7,11 +7,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from crowdpulse.operators.keyed import first_arrival, last_write, thin_replays
+from crowdpulse.operators.keyed import first_arrival, last_write
 from crowdpulse.operators.listings import latest_of_log
 from crowdpulse.schemas import ARRIVAL, COUNTRY_STATS, USERS
 from crowdpulse.sources.tables import USERS_LOG, SnapshotTable, UsersTable, create_tables
-from crowdpulse.streaming.sinks import LatestUsers
+from crowdpulse.streaming.views import LatestUsers
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -60,12 +60,6 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_thinning_keeps_a_copy_of_every_key(spark):
-    log = log_of(spark, *[entry("hot", i, i) for i in range(50)], entry("b", 1, 99))
-    thin = thin_replays(log.coalesce(1)).collect()
-    assert [(r.user_id, r.age) for r in thin] == [("hot", 0), ("b", 1)]
-
-
 def test_latest_of_a_log_resolves_copies(spark):
     log = log_of(spark, *[entry(f"u{i}", i, i, minutes=i) for i in range(20)],
                  *[entry("u19", 100 + i, 50 + i, minutes=19) for i in range(5)])
@@ -104,6 +98,38 @@ def test_compaction_changes_no_result_and_later_writes_still_win(spark, folder):
         assert (table.log.complete(), table.base.complete()) == ([2], [1, 2])
 
 
+def test_compaction_and_reads_open_only_the_hours_they_need(spark, folder):
+    table = UsersTable(spark, folder("users"))
+    hours = [0, 60, 120]
+    table.append(log_of(spark, *[entry("a", 1, i, minutes=m) for i, m in enumerate(hours)]), 0)
+    table.compact()
+    table.append(log_of(spark, entry("a", 9, 9, minutes=60), entry("b", 3, 10, minutes=61)), 1)
+    first = min(table.hours())
+    assert table.hours() == {first, first + 1, first + 2}
+    some = table.entries({first + 1})
+    opened = [path.split("/users/")[1] for path in some.inputFiles()]
+    assert {path.split("/part-")[0] for path in opened} == {
+        f"base/batch_id=0/hour={first + 1}", f"log/batch_id=1/hour={first + 1}"
+    }
+    assert {r.user_id: r.age for r in table.current({first + 1}).collect()} == {"a": 9, "b": 3}
+    want = ages(table.current())
+    table.compact()
+    assert table.base.hours() == {0: {first, first + 1, first + 2}, 1: {first + 1}}
+    assert ages(table.current()) == want and len(want) == 4
+    table.append(log_of(spark, entry("c", 5, 11, minutes=120)), 2)
+    table.compact()
+    # What the compaction before had replaced is gone, hours without new rows stay where they are.
+    assert table.base.hours() == {0: {first, first + 2}, 1: {first + 1}, 2: {first + 2}}
+    assert len(ages(table.current())) == 5
+
+
+def test_newest_users_are_bounded_before_keys_meet(spark, folder):
+    table = UsersTable(spark, folder("users"))
+    table.append(log_of(spark, *[entry(f"u{i}", i, i, minutes=i) for i in range(90)]), 0)
+    plan = latest_of_log(table.entries(), ("batch_id", *ARRIVAL), 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("GreaterThanOrEqual(ingestion_time,2024-01-01")
+
+
 def test_old_snapshots_are_removed(spark, folder):
     table = SnapshotTable(spark, folder("stats"), COUNTRY_STATS, keep=2)
     for batch_id in range(5):

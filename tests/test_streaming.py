@@ -1,4 +1,4 @@
-"""Sinks, restart, failure, replay and the maintained aggregates."""
+"""Sinks, restart, failure, replay and the views kept beside the users table."""
 
 from __future__ import annotations
 
@@ -15,29 +15,25 @@ from crowdpulse.plans.dashboard import Dashboard
 from crowdpulse.schemas import USERS
 from crowdpulse.sources.tables import BatchFolders, UsersTable
 from crowdpulse.sources.topic import message_batch, message_stream, publish_to_files
-from crowdpulse.streaming.aggregates import (
-    country_stats_table,
-    every,
-    start_country_stats,
-    start_tallies,
-)
 from crowdpulse.streaming.run import (
     DRAIN,
     await_all,
     await_any,
     drain,
+    every,
     start_fan_out,
     start_shared_fan_out,
     start_sink,
 )
 from crowdpulse.streaming.sinks import (
-    LatestUsers,
     Sink,
     append_sink,
     debug_sink,
     keyed_sink,
     quarantine_sink,
+    stored,
 )
+from crowdpulse.streaming.views import Views
 
 ONE_FILE = {"maxFilesPerTrigger": "1"}
 
@@ -106,7 +102,7 @@ def test_replay_counts_twice_in_append_and_once_in_keyed(spark, topic, folder):
 
 @pytest.mark.parametrize("compacted", [False, True])
 def test_a_new_checkpoint_overwrites_and_hides_nothing(spark, folder, compacted):
-    path, sink = folder("users"), keyed_sink(folder("users"), folder("latest"))
+    path, sink = folder("users"), keyed_sink(folder("users"), folder("views"))
     table = UsersTable(spark, path)
     for number, (first, last, progress) in enumerate([(0, 20, "one"), (20, 50, "two"), (50, 60, "one")]):
         # Several files, so several micro-batches; the first checkpoint comes back at the end.
@@ -117,7 +113,7 @@ def test_a_new_checkpoint_overwrites_and_hides_nothing(spark, folder, compacted)
         if compacted:
             table.compact()
         assert table.current().count() == last
-    newest = LatestUsers(spark, folder("latest")).read(5).collect()
+    newest = Views(spark, folder("views")).latest.read(5).collect()
     assert [r.user_id for r in newest] == ["u50", "u51", "u52", "u53", "u54"]
 
 
@@ -179,12 +175,12 @@ def failing(sink, at_batch):
 
 def test_failure_after_the_write_leaves_no_duplicates(spark, topic, folder):
     users = users_of(spark, topic)
-    sink = failing(keyed_sink(folder("users"), folder("latest")), at_batch=1)
+    sink = failing(keyed_sink(folder("users"), folder("views")), at_batch=1)
     with pytest.raises(StreamingQueryException):
         drain(users, [sink], folder("progress"))
     drain(users, [sink], folder("progress"))
     assert UsersTable(spark, folder("users")).entries().count() == 110
-    newest = [r.user_id for r in LatestUsers(spark, folder("latest")).read(5).collect()]
+    newest = [r.user_id for r in Views(spark, folder("views")).latest.read(5).collect()]
     assert newest == ["u100", "u101", "u102", "u103", "u104"]
 
 
@@ -215,40 +211,143 @@ def test_append_mode_refuses_an_unbounded_aggregate(spark, topic, folder):
         start_sink(counted, append_sink("parquet", {"path": folder("out")}), folder("progress"), DRAIN)
 
 
-def test_streamed_country_stats_equal_the_batch_ones(spark, topic, folder):
-    await_all([start_country_stats(users_of(spark, topic), folder("stats"), folder("progress"), DRAIN)])
-    table = country_stats_table(spark, folder("stats"))
-    assert len(table.complete()) > 1
+def same_views(spark, views, path):
+    """The published views are what counting the whole table gives."""
+    current = UsersTable(spark, path).current()
+    state = views.read(50)
+    key = lambda row: [(value is not None, value) for value in row]
+    assert sorted(state["country_stats"].collect(), key=key) == sorted(stats.country_stats(current).collect(), key=key)
+    assert sorted(state["tallies"].collect(), key=key) == sorted(stats.tallies(current).collect(), key=key)
+    newest = current.orderBy(F.desc("ingestion_time"), "user_id").limit(50)
+    assert state["latest_users"].collect() == newest.collect()
+
+
+def test_kept_views_equal_the_whole_table(spark, topic, folder):
+    drain(users_of(spark, topic), [keyed_sink(folder("users"), folder("views"))], folder("progress"))
+    views = Views(spark, folder("views"))
+    assert len(views.countries.complete()) > 1
+    same_views(spark, views, folder("users"))
     want = stats.country_stats(batch_users(spark, topic)).collect()
-    assert sorted(table.read_latest().collect()) == sorted(want)
+    assert sorted(views.countries.read_latest().collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("horizon, factor", [(None, 2), ("30 days", 1)])
-def test_replay_counts_only_without_a_horizon(spark, topic, folder, horizon, factor):
-    def run():
+def total_of(views):
+    return views.read()["tallies"].agg(F.sum("n")).first()[0]
+
+
+def test_replays_changes_late_rows_and_new_checkpoints_are_counted_exactly(spark, folder):
+    sink, views = keyed_sink(folder("users"), folder("views")), Views(spark, folder("views"))
+    late = feed(spark, 0, 9, country="old").withColumn("ingestion_timestamp", F.lit(1_600_000_000).cast("long"))
+    deliveries = [
+        (feed(spark, 0, 80), "one", 80),
+        (feed(spark, 20, 40), "one", 80),
+        (feed(spark, 20, 40, age=70, country="moved"), "two", 80),
+        (late.withColumn("age", F.lit(None).cast("int")), "two", 89),
+        (feed(spark, 0, 5).withColumn("country", F.lit(None).cast("string")), "three", 89),
+    ]
+    for number, (rows, progress, total) in enumerate(deliveries):
+        topic = folder(f"topic-{progress}")
+        publish(spark, rows, topic, first_offset=number << 40)
+        drain(users_of(spark, topic), [sink], folder(progress))
+        assert total_of(views) == total
+        same_views(spark, views, folder("users"))
+        if number % 2:
+            UsersTable(spark, folder("users")).compact()
+
+
+def test_views_catch_up_with_batches_they_missed(spark, folder):
+    publish(spark, feed(spark, 0, 30), folder("topic"))
+    drain(users_of(spark, folder("topic")), [keyed_sink(folder("users"))], folder("progress"))
+    table, views = UsersTable(spark, folder("users")), Views(spark, folder("views"))
+    for first in (30, 60):  # compacted and removed before the views came
+        table.append(users_batch(spark, folder(f"more-{first}"), first, first + 30), 1 + first)
+        table.compact()
+    publish(spark, feed(spark, 90, 95), folder("topic"), first_offset=1 << 40)
+    drain(users_of(spark, folder("topic")), [keyed_sink(folder("users"), folder("views"))], folder("progress"))
+    assert total_of(views) == 95
+    same_views(spark, views, folder("users"))
+
+
+def users_batch(spark, topic, first, last):
+    publish(spark, feed(spark, first, last), topic)
+    return flatten_users(message_batch(spark, "parquet", {"path": topic}), with_arrival=True)
+
+
+def test_a_refresh_during_a_commit_shows_one_state(spark, folder, monkeypatch):
+    """Read after each step of a commit: all old, until the last step makes all new."""
+    table, views = UsersTable(spark, folder("users")), Views(spark, folder("views"))
+    table.append(users_batch(spark, folder("first"), 0, 20), 0)
+    views.advance(table, 0)
+    seen = []
+
+    def look(step):
+        def looked(*args):
+            step(*args)
+            state = Views(spark, folder("views")).read(50)
+            seen.append((state["tallies"].agg(F.sum("n")).first()[0], state["latest_users"].count(),
+                         state["country_stats"].agg(F.sum("count_users")).first()[0]))
+        return looked
+
+    for part in (views.hours, views.tallies, views.countries, views.latest.table):
+        monkeypatch.setattr(part, "write", look(part.write))
+    monkeypatch.setattr(views, "_publish", look(views._publish))
+    table.append(users_batch(spark, folder("second"), 20, 45), 1)
+    views.advance(table, 1)
+    assert seen == [(20, 20, 20)] * 4 + [(45, 45, 45)]
+
+
+def test_documents_outlive_new_checkpoints_and_the_shared_form(spark, folder):
+    options = {"path": folder("documents")}
+    sinks, counts = [append_sink("json", options), keyed_sink(folder("users"))], []
+    for number, (first, last) in enumerate([(0, 30), (30, 60), (60, 80)]):
+        topic = folder(f"topic-{number}")
+        publish(spark, feed(spark, first, last), topic)
         users = users_of(spark, topic)
-        await_all([start_country_stats(users, folder("stats"), folder("progress"), DRAIN, horizon)])
+        if number < 2:
+            drain(users, sinks, folder(f"progress-{number}"))
+        else:
+            await_all([start_shared_fan_out(users, sinks, folder("progress-2"), DRAIN)])
+        plain = spark.read.schema(users.schema).json(folder("documents")).count()
+        counts.append((stored(spark, "json", options, users.schema).count(), plain))
+    assert counts == [(30, 30), (60, 60), (80, 80)]
 
-    run()
-    publish(spark, feed(spark, 0, 60), topic, first_offset=1 << 50)
-    publish(spark, feed(spark, 60, 110), topic, first_offset=1 << 51)
-    run()
-    total = country_stats_table(spark, folder("stats")).read_latest().agg(F.sum("count_users"))
-    assert total.first()[0] == 110 * factor
 
+@pytest.mark.parametrize("after_write", [True, False])
+def test_a_batch_taken_up_after_another_query_is_stored_once(spark, folder, after_write):
+    """A query dies after or before its write; another writes; the first comes back."""
+    path = folder("bad")
+    sink, left = quarantine_sink(path), [1]
 
-def test_dashboard_frames_come_from_one_snapshot(spark, topic, folder):
+    def write(batch, batch_id):
+        if left:
+            left.pop()
+            if after_write:
+                sink.write(batch, batch_id)
+            else:
+                folders = BatchFolders(batch.sparkSession, path, batch.schema)
+                folders.own_id(batch_id)
+            raise RuntimeError("on purpose")
+        sink.write(batch, batch_id)
+
+    for name, first in (("one", 0), ("two", 10)):
+        publish(spark, feed(spark, first, first + 10), folder(name))
+    one, two = users_of(spark, folder("one")), users_of(spark, folder("two"))
+    with pytest.raises(StreamingQueryException):
+        drain(one, [Sink("bad", write)], folder("progress-one"))
+    drain(two, [sink], folder("progress-two"))
+    drain(one, [Sink("bad", write)], folder("progress-one"))
+    drain(two, [sink], folder("progress-two"))
+    assert stored_rows(spark, one, path).count() == 20
+
+
+def test_dashboard_frames_come_from_one_state(spark, topic, folder):
     users = users_of(spark, topic)
-    stats_path = folder("stats")
-    await_all(
-        [start_tallies(users, folder("tallies"), folder("progress/tallies"), DRAIN, None, stats_path)]
-    )
-    drain(users, [keyed_sink(folder("users"), folder("latest"))], folder("progress"))
-    frames = Dashboard(spark, folder("tallies"), folder("latest")).refresh(limit=7)
+    drain(users, [keyed_sink(folder("users"), folder("views"))], folder("progress"))
+    frames = Dashboard(spark, folder("views")).refresh(limit=7)
     everyone = batch_users(spark, topic)
     per_country = stats.country_stats(everyone)
-    stored = country_stats_table(spark, stats_path).read_latest()
-    assert sorted(stored.collect()) == sorted(per_country.collect())
+    kept = Views(spark, folder("views")).countries.read_latest()
+    assert sorted(kept.collect()) == sorted(per_country.collect())
     kpis = frames["kpis"].first()
     assert (kpis.total_users, kpis.countries) == (110, 7)
     assert kpis.avg_age == pytest.approx(stats.avg_age_kpi(per_country).first().avg_age)
@@ -261,7 +360,7 @@ def test_dashboard_frames_come_from_one_snapshot(spark, topic, folder):
 
 
 def test_dashboard_over_nothing(spark, folder):
-    frames = Dashboard(spark, folder("tallies"), folder("latest")).refresh()
+    frames = Dashboard(spark, folder("views")).refresh()
     assert frames["kpis"].first().total_users == 0
     assert frames["latest_users"].count() == 0
 
