@@ -28,6 +28,7 @@ _SINKS = """
 SELECT s.sink, count(*) AS n
 FROM users CROSS JOIN (VALUES ('debug'), ('append'), ('keyed')) AS s(sink) GROUP BY s.sink
 """
+# The listing's labels are the public contract.
 _LISTING = f"""
 SELECT user_id AS "ID", full_name AS "Nom Complet", gender AS "Genre", age AS "Âge",
        country AS "Pays", email AS "Email", ingestion_time AS "Date d'ingestion"
@@ -82,7 +83,9 @@ _OVER_USERS = {
         FROM stats HAVING count(*) > 0
     """,
     "kpi_empty_guard": """
-        SELECT round(avg(age), 6) AS avg_age FROM users WHERE country IS NULL HAVING count(*) > 0
+        SELECT 'everywhere' AS scope, round(avg(avg_age), 6) AS avg_age FROM stats HAVING count(*) > 0
+        UNION ALL
+        SELECT 'nowhere', round(avg(age), 6) FROM users WHERE country IS NULL HAVING count(*) > 0
     """,
     "top_countries": """
         SELECT country, count_users FROM stats ORDER BY count_users DESC, country LIMIT 10
@@ -129,6 +132,10 @@ _OVER_USERS = {
              CROSS JOIN (VALUES ('documents'), ('users')) AS s(sink)
         GROUP BY d.delivery, s.sink
     """,
+    "sink_failure": """
+        SELECT s.sink, s.sink = 'keyed' AS failed, 0 AS active, count(*) AS n
+        FROM users CROSS JOIN (VALUES ('append'), ('keyed')) AS s(sink) GROUP BY s.sink
+    """,
     "statistics_exact": """
         SELECT country, count(*) AS count_users, avg(age) AS avg_age, max(ingestion_time) AS last_update
         FROM (

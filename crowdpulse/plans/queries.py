@@ -28,7 +28,15 @@ from crowdpulse.session import input_bytes, size_shuffles
 from crowdpulse.sources.scratch import discard, new_folder
 from crowdpulse.sources.tables import BatchFolders, UsersTable, create_tables
 from crowdpulse.sources.topic import message_batch, message_stream, publish, publish_to_files
-from crowdpulse.streaming.run import DRAIN, await_all, drain, start_shared_fan_out
+from crowdpulse.streaming.run import (
+    DRAIN,
+    await_all,
+    await_any,
+    drain,
+    failures,
+    start_fan_out,
+    start_shared_fan_out,
+)
 from crowdpulse.streaming.sinks import Sink, append_sink, debug_sink, keyed_sink, stored
 from crowdpulse.streaming.views import Views, country_stats_table
 
@@ -110,13 +118,18 @@ def scan_country_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ddl_users_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = new_folder(spark, "tables")
+    """Tables declared twice, filled by SQL from what the stream has stored, and read by name."""
+    location, root = new_folder(spark, "declared"), new_folder(spark, "tables")
     database = "tables_" + location[-12:]
     create_tables(spark, database, location)
     create_tables(spark, database, location)
-    name = f"{database}.users"
-    fixture.users(spark, sf_dir).select(*spark.table(name).columns).write.insertInto(name)
-    return _users_edge(spark.table(name))
+    with _staged(spark, sf_dir) as (topic, progress):
+        views = _kept_views(spark, topic, progress, root)
+    views.open_names(UsersTable(spark, f"{root}/users"))
+    for name in ("users", "country_stats"):
+        spark.sql(f"INSERT INTO {database}.{name} SELECT * FROM {name}")
+    counted = f"SELECT sum(count_users) FROM {database}.country_stats"
+    return _users_edge(spark.sql(f"SELECT * FROM {database}.users WHERE ({counted}) > 0"))
 
 
 def src_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,10 +235,14 @@ def kpi_avg_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPIs over the users of no country: there are none, so there is no row."""
-    nowhere = fixture.users(spark, sf_dir).where("country IS NULL")
-    relabelled = nowhere.withColumn("country", F.lit("none"))
-    return _rounded(stats.avg_age_kpi(stats.country_stats(relabelled)), "avg_age")
+    """The mean-age tile over all users, and over those of no country: there are none, so no tile."""
+    users = fixture.users(spark, sf_dir)
+    nowhere = users.where("country IS NULL").withColumn("country", F.lit("none"))
+    tiles = [
+        stats.avg_age_kpi(stats.country_stats(rows)).select(F.lit(scope).alias("scope"), "avg_age")
+        for scope, rows in (("everywhere", users), ("nowhere", nowhere))
+    ]
+    return _rounded(reduce(DataFrame.unionAll, tiles), "avg_age")
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,6 +406,38 @@ def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def sink_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of two sinks dies after its first write: the other is stopped, both go on after a restart."""
+    documents, users_path = new_folder(spark, "documents"), new_folder(spark, "users")
+    going, sink = append_sink("json", {"path": documents}), keyed_sink(users_path)
+
+    def write_then_die(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch, batch_id)
+        raise RuntimeError("stopped between write and commit, on purpose")
+
+    with _staged(spark, sf_dir) as (topic, progress):
+        users = _user_stream(spark, topic)
+        queries = start_fan_out(users, [going, Sink(sink.name, write_then_die)], progress)
+        try:
+            await_any(queries)
+        except StreamingQueryException:
+            log.info("stopped as intended")
+        active = sum(query.isActive for query in queries)
+        failed = [name.split("-")[0] for name in failures(queries)]
+        drain(users, [going, sink], progress)
+    kept = {
+        "append": stored(spark, "json", {"path": documents}, users.schema),
+        "keyed": UsersTable(spark, users_path).entries(),
+    }
+    counts = [
+        rows.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("sink"), F.lit(name in failed).alias("failed"), F.lit(active).alias("active"), "n"
+        )
+        for name, rows in kept.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 # --- views kept beside the users table --------------------------------------
 
 
@@ -519,6 +568,7 @@ _QUERIES: dict[str, Query] = {
     "dashboard_latest": dashboard_latest,
     "dashboard_charts": dashboard_charts,
     "sink_new_checkpoint": sink_new_checkpoint,
+    "sink_failure": sink_failure,
     "statistics_exact": statistics_exact,
 }
 
@@ -546,6 +596,8 @@ _WIDE = {
     "dashboard_latest",
     "dashboard_charts",
     "sink_new_checkpoint",
+    "sink_failure",
+    "ddl_users_schema",
     "statistics_exact",
 }
 

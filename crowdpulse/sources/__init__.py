@@ -1 +1 @@
-"""Message topics, stored tables, the cadence source and the scratch folder."""
+"""Message topics, stored tables and the scratch folder."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
@@ -31,6 +32,7 @@ def start_sink(
 ) -> StreamingQuery:
     """One append query with a checkpoint of its own; no trigger means as soon as possible."""
     writer = stream_writer(sink.prepare(df), "append", f"{checkpoints}/{sink.name}", trigger)
+    writer = writer.queryName(f"{sink.name}-{uuid.uuid4().hex[:8]}")  # active names must differ
     if sink.stream_format:
         return writer.format(sink.stream_format).options(**sink.options).start()
     return writer.foreachBatch(sink.write).start()
@@ -72,6 +74,12 @@ def _stop(queries: Iterable[StreamingQuery]) -> None:
             query.stop()
 
 
+def failures(queries: Iterable[StreamingQuery]) -> dict[str, str]:
+    """Which queries have failed, by the name of their sink, and the failures' first lines."""
+    failed = {query.name or str(query.id): query.exception() for query in queries}
+    return {name: str(error).splitlines()[0] for name, error in failed.items() if error is not None}
+
+
 def await_any(queries: Sequence[StreamingQuery], poll_seconds: float = 0.5) -> None:
     """Waits until one query ends, stops the others, and raises if it failed."""
     try:

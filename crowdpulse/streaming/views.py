@@ -140,6 +140,14 @@ class Views:
         for old in ids[:-SNAPSHOTS_KEPT]:
             discard(self.spark, f"{self.pointer}/{old}")
 
+    def open_names(self, users: UsersTable) -> None:
+        """`users` and `country_stats` as names for SQL, as the sinks have filled them up to now.
+
+        The names stand for the files of this moment; opening them again renews them.
+        """
+        users.current().createOrReplaceTempView("users")
+        self.read()["country_stats"].createOrReplaceTempView("country_stats")
+
     def read(self, limit: int = LISTING_DEFAULT) -> dict[str, DataFrame]:
         """Tallies, country statistics and newest users of one state of the table."""
         at = self.published()

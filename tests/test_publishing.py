@@ -1,4 +1,4 @@
-"""Envelopes: size, losslessness, hot stamps; and the cadence source."""
+"""Envelopes: size, losslessness, hot stamps; and the cadence of polls."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from crowdpulse.operators.cadence import poll_at_cadence
 from crowdpulse.operators.messages import flatten_users
 from crowdpulse.operators.publishing import pack_envelopes, stamp_ingestion, to_messages
-from crowdpulse.sources.cadence import cadence_stream
 from crowdpulse.sources.topic import message_batch, publish, publish_to_files
 
 FEED = (
@@ -91,21 +90,6 @@ def test_polls_are_full_and_evenly_spaced(spark):
     assert polled.select("id").distinct().count() == 257
 
 
-def test_cadence_stream(spark, folder):
-    ticks = cadence_stream(spark, rows=10, seconds=10, start=1704067200)
-    for _ in range(3):
-        query = (
-            ticks.writeStream.format("parquet").option("path", folder("ticks"))
-            .option("checkpointLocation", folder("progress")).trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-    got = spark.read.parquet(folder("ticks")).groupBy(F.unix_timestamp("timestamp").alias("t")).count()
-    stamps = sorted(got.collect())
-    assert all(n == 10 for _, n in stamps)
-    steps = {b.t - a.t for a, b in zip(stamps, stamps[1:])}
-    assert len(stamps) >= 2 and steps == {10}
-
-
 class Recorder:
     """Stands in for a reader, to see which options a connector would get."""
 
