@@ -1,12 +1,12 @@
 """Secrets in texts: fixed patterns, and strings that compression finds novel.
 
-A candidate is a long string of letters and digits with a sensitive word
-before it, such as the name it is assigned to. Zstandard, primed with a
-dictionary of common identifiers and of the code around the candidate, tells
-how many bytes the candidate adds. Identifiers, words and values that the
-surroundings know add few; a random key adds nearly its own length. So do
-words that the dictionary lacks: a string without digits must also be
-unlikely, pair of letters by pair, as words of natural language.
+A candidate is a long string of letters and digits that a sensitive name is
+given, or that stands after one. Zstandard, primed with a dictionary of common
+identifiers and of the code around the candidate, tells how many bytes the
+candidate adds. Identifiers, words and values that the surroundings know add
+few; a random key adds nearly its own length. So do words that the dictionary
+lacks, paths, dates and file names: so enough of the candidate must also lie in
+parts that are no words, pair of letters by pair, and no numbers beside words.
 """
 
 from __future__ import annotations
@@ -41,9 +41,26 @@ _HEX = re.compile(rf"[0-9a-f]{{{HEX_LENGTH},}}")
 _TRIGGERS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # A sign = ends a name; only at the end it is the padding of a value.
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
-_SENSITIVE = re.compile(
-    r"(?ai)(?:passw|pwd|passphrase|secret|token|key|credential|auth|bearer|private|signature|salt)"
+# Names of secrets, or parts of such names.
+_NAMES = (
+    "password passwd passphrase pwd secret token key keys apikey secretkey privatekey accesskey authkey "
+    "accesstoken authtoken credential credentials auth authorization bearer private signature salt"
+).split()
+# As whole parts of a name: api_key, apiKey, API-KEY, but not keyboard, monkey or author.
+_PART = "|".join(
+    f"(?<![A-Za-z]){name}(?![a-z])|(?<![A-Z]){name.title()}(?![a-z])|(?<![A-Za-z]){name.upper()}(?![A-Za-z])"
+    for name in _NAMES
 )
+_SENSITIVE = re.compile(_PART)
+# The name that a value is given to, at the end of the text before it.
+_GIVEN = re.compile(r"""([A-Za-z][\w.-]*)["'\])]*\s*(?:[:=]|:=|=>)\s*["'(\[]*(?:(?:[Bb]earer|[Bb]asic)\s+)?$""")
+_UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_LONG_PART, _LONG_WORD, _LONG_PIECE, _TURNS = 8, 12, 6, 3
+# Words beside numbers are names more often than not, so their letters must be still less likely.
+PIECE_BITS = 5.9
+#: Letters and digits in random parts that a value needs, and their share of all, if a name is given
+#: it, and if a sensitive name only stands before it.
+GIVEN_RANDOM, NEAR_RANDOM = (8, 0.5), (16, 0.75)
 # Identifiers that often stand around configuration values.
 IDENTIFIERS = (
     "password passwd passphrase secret secret_key token access_token refresh_token id_token api_key "
@@ -144,28 +161,58 @@ def letter_bits(value: str) -> float:
     )
 
 
-def _is_novel(text: str, start: int, end: int) -> bool:
-    value = text[start:end]
-    if not any(c.isdigit() for c in value) and letter_bits(value) < LETTER_BITS:
+def _is_random(part: str) -> bool:
+    """A run of letters and digits that is no word, number, or words and numbers together."""
+    if part.isdigit():
+        return False
+    if part.isalpha():
+        return len(part) >= _LONG_WORD and letter_bits(part) >= LETTER_BITS
+    if len(part) < _LONG_PART:
+        return False
+    pieces = re.findall("[A-Za-z]+|[0-9]+", part)
+    odd = any(len(p) >= _LONG_PIECE and p.isalpha() and letter_bits(p) >= PIECE_BITS for p in pieces)
+    return odd or len(pieces) > _TURNS
+
+
+def random_share(value: str) -> tuple[int, float]:
+    """How many letters and digits lie in random parts between signs, and their share of all."""
+    parts = re.findall("[A-Za-z0-9]+", value)
+    found = sum(len(part) for part in parts if _is_random(part))
+    return found, found / max(1, sum(map(len, parts)))
+
+
+def _looks_random(value: str, given: bool) -> bool:
+    least, share = GIVEN_RANDOM if given else NEAR_RANDOM
+    if not given and _UUID.fullmatch(value):
         return False
-    return novelty(text, start, end) >= NOVELTY
+    found, part = random_share(value)
+    return found >= least and part >= share
 
 
 def novel_spans(text: str, base: list[Span]) -> list[Span]:
-    """Candidates in sensitive context that are novel and overlap no span of `base`."""
+    """Candidates in sensitive context that look random, are novel and overlap no span of `base`.
+
+    The context is a sensitive name that the value is given to, or, for values
+    that are random almost throughout, one in the WINDOW before it.
+    """
     spans: list[Span] = []
     last = -1
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
-        if match[0].isdigit():
+        value = match[0]
+        if value.isdigit():
             continue
         # The lines of one long key stand below each other.
-        more = last >= 0 and not text[last:start].strip()
-        if not more and not _SENSITIVE.search(text, max(0, start - WINDOW), start):
-            continue
+        given = last >= 0 and not text[last:start].strip()
+        if not given:
+            before = text[max(0, start - WINDOW) : start]
+            if not _SENSITIVE.search(before):
+                continue
+            name = _GIVEN.search(before)
+            given = bool(name and _SENSITIVE.search(name[1]))
         if any(low < end and start < high for low, _, high in base):
             continue
-        if _is_novel(text, start, end):
+        if _looks_random(value, given) and novelty(text, start, end) >= NOVELTY:
             spans.append((start, 3, end))
             last = end
     return spans
