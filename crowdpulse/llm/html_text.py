@@ -77,6 +77,7 @@ _ASIDE = _OTHERS | frozenset(
 _WRAPPERS = frozenset("form fieldset".split())
 _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li table blockquote pre article main".split())
 _KEPT_NAMES = frozenset("article main body html".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An open tag of the key closes these, up to the nearest of the ones after.
 _ITEM_SCOPE = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -204,6 +205,10 @@ def _names(node: Node) -> set[str]:
     return set(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split())
 
 
+def _named(node: Node) -> bool:
+    return not _names(node).isdisjoint(_NAMES)
+
+
 def _is_put_away(node: Node) -> bool:
     """Furniture by its role, or hidden by an attribute."""
     attrs = node.attrs
@@ -215,8 +220,8 @@ def _is_put_away(node: Node) -> bool:
     return attrs.get("aria-hidden", "").lower() == "true"
 
 
-def _is_chrome(node: Node, whole: bool = False) -> bool:
-    """Page furniture. If the `whole` page is read, what holds an article goes only for names in _OTHERS."""
+def _is_chrome(node: Node, around: frozenset[str] = _NAMES) -> bool:
+    """Page furniture; what holds an article goes only for names in `around`."""
     if node.tag in _WRAPPERS:
         if not node.wraps:
             return True
@@ -228,7 +233,7 @@ def _is_chrome(node: Node, whole: bool = False) -> bool:
         return True
     if node.tag in _INLINE or node.tag in _WRAPPERS:
         return False
-    return not _names(node).isdisjoint(_OTHERS if whole and node.articles else _NAMES)
+    return not _names(node).isdisjoint(around if node.articles else _NAMES)
 
 
 def _is_aside(node: Node) -> bool:
@@ -238,12 +243,16 @@ def _is_aside(node: Node) -> bool:
     return node.tag not in _KEPT_NAMES and not _names(node).isdisjoint(_ASIDE)
 
 
-def _outermost(root: Node, wanted: str, passed: Callable[[Node], bool]) -> list[Node]:
-    """The outermost elements of the kind that hold text, none below elements that are passed over."""
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or node.attrs.get("role") == "main"
+
+
+def _outermost(root: Node, passed: Callable[[Node], bool]) -> list[Node]:
+    """The outermost article and main elements that hold text, none below elements that are passed over."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.tag == wanted or wanted == "main" and node.attrs.get("role") == "main":
+        if node.tag == "article" or _is_main(node):
             if node.size:
                 found.append(node)
             continue
@@ -260,27 +269,42 @@ def _shows(root: Node) -> bool:
             if isinstance(child, str):
                 if child and not child.isspace():
                     return True
-            elif child.size and not _is_chrome(child, True):
+            elif child.size and not _is_chrome(child, _OTHERS):
                 stack.append(child)
     return False
 
 
 def _main(root: Node) -> list[Node]:
-    """The outermost articles; else the main element; else the page; else articles wherever they stand.
+    """The main elements or the articles outside them, whichever hold more text; else the page.
 
-    Names of the elements around an article say nothing about it, but for
-    comments, sidebars and links to other pages.
+    A main element is taken whole, with its articles and what stands between
+    them. If the page shows nothing, articles count wherever they stand. Names of the elements around an
+    article say nothing about it, but for comments, sidebars and links to other pages.
     """
-    for wanted in ("article", "main"):
-        found = _outermost(root, wanted, _is_aside)
-        if found:
-            return found
-    if not _shows(root):
-        for wanted in ("article", "main"):
-            found = _outermost(root, wanted, lambda node: node.tag in _HIDDEN)
-            if found:
-                return found
-    return [root]
+    found = _outermost(root, _is_aside)
+    if not found and not _shows(root):
+        found = _outermost(root, lambda node: node.tag in _HIDDEN)
+    mains = [node for node in found if _is_main(node)]
+    articles = [node for node in found if not _is_main(node)]
+    held = [sum(node.size for node in nodes) for nodes in (mains, articles)]
+    return (mains if held[0] > held[1] else articles) or [root]
+
+
+def _around(top: Node) -> frozenset[str]:
+    """The names by which what holds an article is furniture, in a page, a main element or an article."""
+    return _NAMES if top.tag == "article" else _ASIDE if _is_main(top) else _OTHERS
+
+
+def _headings(header: Node) -> list[Node]:
+    """The outermost headings of an article's own header; the rest of it are bylines, dates and menus."""
+    found, stack = [], [header]
+    while stack:
+        node = stack.pop()
+        if node.tag in _HEADINGS:
+            found.append(node)
+        elif node is header or not _is_chrome(node):
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found
 
 
 def _candidates(root: Node) -> Iterator[tuple[Node, int]]:
@@ -327,6 +351,7 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
         open_.clear()
 
     for top in _main(root):
+        around = _around(top)
         stack: list[Node | str | None] = [top]
         while stack:
             item = stack.pop()
@@ -334,7 +359,10 @@ def main_text(page: str | None, templates: frozenset[int] = frozenset()) -> str:
                 end_block()
             elif isinstance(item, str):
                 open_.append(item)
-            elif id(item) in removed or item is not top and _is_chrome(item, top is root):
+            elif item.tag == "header" and top is not root and id(item) not in removed:
+                end_block()
+                stack.extend(reversed([] if _is_put_away(item) or _named(item) else _headings(item)))
+            elif id(item) in removed or item is not top and _is_chrome(item, around):
                 if item.tag not in _INLINE:
                     end_block()
             elif item.tag == "br":

@@ -301,3 +301,49 @@ def test_text_blocks_on_nearly_all_pages_are_deleted_inside_articles(spark):
     assert got[0] == "t0\nquoted\nown 0\nName\n0"
     assert all(got[i] == f"t{i}\nquoted\nown {i}\nName\n{i}" for i in range(1, 16))
     assert all(got[i] == f"t{i}\nown {i}\nName\n{i}" for i in range(16, 20))
+
+
+CHOSEN = [
+    ("<article>teaser</article><main>long text</main>", "long text"),
+    ("<article>the long text</article><main>short</main>", "the long text"),
+    ("<main><article>one</article><p>intro</p></main>", "one\nintro"),
+    ("<main><p>intro</p><div class='overlay'><article>one</article></div>end</main>", "intro\none\nend"),
+    ("<main><article>one</article><div class='sidebar'><article>other</article></div></main>", "one"),
+    ("<main><article>one</article><div class='related'><article>other</article></div></main>", "one"),
+    ("<article><header><h1>Title</h1><p>by me</p></header><p>x</p></article>", "Title\nx"),
+    ("<article><header class='site-header'><h1>Site</h1></header><p>x</p></article>", "x"),
+    ("<main><header><div><h1>A</h1><nav><h2>no</h2></nav></div><h2>B <i>c</i></h2></header>x</main>", "A\nB c\nx"),
+    ("<header><h1>Site</h1></header><p>x</p>", "x"),
+    ("<div role='main'><article>a</article>b</div><article>c</article>", "a\nb"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), CHOSEN)
+def test_the_element_with_the_text_is_taken_whole(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_unmarked_templates_equal_a_count_of_subtrees_per_host(spark):
+    """Sites without article or names: menus, notices and a hot host, against plain counts of subtrees."""
+    rng = random.Random(8)
+    hosts = {f"h{i}.org": rng.randint(6, 14) for i in range(4)} | {"hot.org": 90, "few.org": 3}
+    rows, want = [], {}
+    for host, n in hosts.items():
+        shares = [rng.choice([0.1, 0.3, 0.45, 0.6, 0.8, 1.0]) for _ in range(6)]
+        boxes = [f"<div><span>{host} box {k}</span> <b>go {k}</b></div>" for k in range(6)]
+        held = [[k for k in range(6) if rng.random() < shares[k]] for _ in range(n)]
+        counts = [sum(k in on for on in held) for k in range(6)]
+        for i, on in enumerate(held):
+            page_id = len(rows)
+            own = f"<p>own text {page_id}</p>"
+            rows.append((page_id, f"https://{host}/p{i}", "".join(boxes[k] for k in on) + own))
+            kept = [f"{host} box {k} go {k}" for k in on if counts[k] < 5 or 2 * counts[k] < n]
+            want[page_id] = "\n".join([*kept, f"own text {page_id}"])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert got == want and any("box" in text for text in got.values())
+
+
+def test_ten_thousand_nested_elements():
+    page = "<div>" * 10_000 + "deep" + "</div>" * 10_000
+    assert html_text.main_text(page) == "deep"
