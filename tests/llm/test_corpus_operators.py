@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 import struct
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from crowdpulse.llm.chat import ROTATE_SQL, rotate
 from crowdpulse.llm.near_dedup import near_duplicates
 from crowdpulse.llm.quality_model import isotonic, quality_scores
@@ -167,6 +170,40 @@ def test_shards_of_odd_rows(spark, odd_documents, no_documents):
     assert shard(no_documents).count() == 0
 
 
+def _directory(items, limit):
+    """Plain extendible hashing: a bucket over the limit that holds more than one row is split on the next bit."""
+    out, stack = [], [("", items)]
+    while stack:
+        name, held = stack.pop()
+        total = sum(size for _, size, _ in held)
+        if total <= limit or len(held) == 1 or len(name) == 60:
+            out += [(doc_id, size, name, len(name), total) for doc_id, size, _ in held]
+            continue
+        for bit in "01":
+            half = [item for item in held if item[2][len(name)] == bit]
+            if half:
+                stack.append((name + bit, half))
+    return out
+
+
+@pytest.mark.parametrize(("limit", "sizes"), [
+    (1_000, [100_000, *[10] * 40]),
+    (500, None),
+    (90, None),
+    (10**9, None),
+])
+def test_shards_equal_a_plain_directory(spark, limit, sizes):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(limit)
+    sizes = sizes or [int(rng.paretovariate(0.9)) % 3_000 for _ in range(800)]
+    docs = spark.createDataFrame([(i, "x" * n) for i, n in enumerate(sizes)], "doc_id long, text string")
+    hashes = docs.select("doc_id", F.lpad(F.bin(F.xxhash64("doc_id", "text")), 64, "0").alias("bits")).collect()
+    items = [(r.doc_id, sizes[r.doc_id], r.bits) for r in hashes]
+    got = shard(docs, limit).collect()
+    assert sorted(map(tuple, got)) == sorted(_directory(items, limit))
+
+
 def test_chat_equals_sql(spark, sf_dir):
     same, detail = compare(spark, connect(sf_dir), op5_chat, ROTATE_SQL, sf_dir)
     assert same, detail
