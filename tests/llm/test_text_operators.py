@@ -10,7 +10,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from crowdpulse.llm import fingerprints, html_text, pieces, secrets, tokens
+from crowdpulse.llm import fingerprints, html_text, packing, pieces, secrets, tokens
 from crowdpulse.llm.packing import best_fit, complete_bins, pack
 from crowdpulse.llm.piece_digests import digests
 from crowdpulse.llm.queries import table, tokenizer
@@ -79,6 +79,50 @@ def test_packing_keeps_every_token_once(spark, odd_documents, no_documents):
     assert pack(no_documents, path).count() == 0
 
 
+def _sequences(frame):
+    by_sequence: dict[int, list] = {}
+    for row in frame.collect():
+        by_sequence.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    return by_sequence
+
+
+def test_many_blocks_leave_no_more_than_one_underfilled_sequence(spark, monkeypatch):
+    """Short documents, half of them equal rows, over many blocks."""
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 20_000)
+    rows = [(7, "same text here")] * 15_000 + [(i, "word " * (i % 7)) for i in range(15_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = pack(docs, tokenizer("word_bpe_49k.json"))
+    sequences = _sequences(found)
+    assert sum(map(len, sequences.values())) == len(rows)
+    tokens_ = sum(length for places in sequences.values() for _, length in places)
+    assert len(sequences) <= -(-tokens_ // 4096) + 1
+
+
+def test_pieces_of_which_no_two_fit_end_in_one_round(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 20_000)
+    rows = [(i, f"w{i} " * 1_100) for i in range(40)]
+    found = pack(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer("word_bpe_49k.json"))
+    sequences = _sequences(found)
+    assert all(len(places) == 1 for places in sequences.values()) and len(sequences) == 40
+
+
+def test_exact_thirds_are_closed():
+    rng = random.Random(3)
+    lengths = []
+    for _ in range(30):
+        a, b = rng.randint(1_100, 1_700), rng.randint(1_000, 1_300)
+        lengths += [a, b, 4096 - a - b]
+    bins = complete_bins(lengths, 4096)
+    assert sorted(x for b in bins for x in b) == sorted(lengths) and max(map(sum, bins)) <= 4096
+    assert len(bins) <= 31 < len(best_fit(lengths, 4096))
+
+
 def test_bin_completion_is_optimal_on_small_cases():
     def least(lengths, room):
         """Fewest bins by trying everything."""
