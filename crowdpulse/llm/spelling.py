@@ -28,7 +28,7 @@ LEAST_LETTERS, LEAST_COUNT = 5, 3
 TIMES = 2
 #: One (document, word) in so many loses a letter.
 ONE_IN = 97
-#: Words from which the cells are fitted, those of smallest hash; every word is indexed.
+#: Words from which the cells are fitted, about, chosen by hash; every word is indexed.
 FITTED = 50_000
 #: Words in a cell, about.
 CELL = 16_000
@@ -167,13 +167,13 @@ def _pairs(words: list[str], n: np.ndarray, near: list[str], near_n: np.ndarray)
 def near_words(words: DataFrame, fitted: int = FITTED, cell: int = CELL) -> DataFrame:
     """(word, n, near, near_n) of distinct words one inserted, deleted or replaced letter apart, both ways.
 
-    Words are of Latin-1 letters, each once. The cells are fitted to the
-    `fitted` words of smallest hash, the only rows that come to the driver;
+    Words are of Latin-1 letters, each once. The cells are fitted to about
+    `fitted` words chosen by their hash, the only rows that come to the driver;
     they decide how even the cells are, never what is found.
     """
     total = words.count()
-    smallest = words.orderBy(F.xxhash64("word"), "word").limit(fitted)
-    sample = [row.word for row in smallest.select("word").collect()]
+    chosen = F.pmod(F.xxhash64("word"), F.lit(max(1, total))) < fitted
+    sample = [row.word for row in words.where(chosen).select("word").collect()]
     cells = Cells(sample, max(8, cell * len(sample) // max(1, total)))
     partitions = 1 + 2 * total // cell
     dealt = _dealt(words, cells).repartition(partitions, "cell").sortWithinPartitions("cell", "kind")
