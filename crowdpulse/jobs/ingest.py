@@ -77,7 +77,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         queries = start_fan_out(users, sinks, progress, trigger)
 
     bad = quarantine_sink(f"{tables}/quarantine")
-    queries.append(start_sink(quarantine(messages), bad, progress, trigger))
+    queries.append(start_sink(quarantine(messages, with_warnings=True), bad, progress, trigger))
     return queries
 
 

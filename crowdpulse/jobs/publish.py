@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from crowdpulse.jobs.arguments import add_format, pairs
 from crowdpulse.operators.publishing import pack_envelopes, stamp_ingestion, to_messages
 from crowdpulse.schemas import USERS_PER_ENVELOPE
-from crowdpulse.session import build_session
+from crowdpulse.session import build_session, input_bytes, size_shuffles
 from crowdpulse.sources.topic import publish
 
 FEED = (
@@ -33,6 +33,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_shuffles(spark, input_bytes(spark, args.input))
     feed = stamp_ingestion(spark.read.schema(FEED).parquet(args.input))
     messages = to_messages(pack_envelopes(feed, args.per_envelope))
     publish(messages, args.target_format, pairs(args.target_option))

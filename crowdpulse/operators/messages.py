@@ -88,14 +88,15 @@ def usable(users: DataFrame) -> DataFrame:
 
 
 def judged(messages: DataFrame) -> DataFrame:
-    """One row per message: its users, the `reasons` why some cannot be stored, and its text.
+    """One row per message: its users, the `reasons` why some cannot be stored, `warnings`, and its text.
 
     `reasons` holds (pos, reason) per user without a whole key; for a message
-    that yields no user at all it holds one entry without `pos`. Only the key
-    fields are looked at: an `age` of the wrong type is stored as NULL.
+    that yields no user at all it holds one entry without `pos`. `warnings` holds
+    the same for users that are stored, but without an age, although one was sent:
+    it is no whole number that fits. A field that is absent or null is none.
     """
     carried = [name for name in COORDINATES if name in messages.columns]
-    envelope = F.from_json(text_of(), envelope_schema(USER_KEY, corrupt=True))
+    envelope = F.from_json(text_of(), envelope_schema((*USER_KEY, "age_as_sent"), corrupt=True))
     parsed = messages.select(*carried, text_of().alias("value"), envelope.alias("envelope"))
     users, stamp = F.col("envelope.results"), F.col("envelope.ingestion_timestamp")
     n_users = F.coalesce(F.size(users), F.lit(0))
@@ -113,17 +114,34 @@ def judged(messages: DataFrame) -> DataFrame:
         reason = F.when(user["login"]["uuid"].isNull(), "no user_id").otherwise(of_stamp)
         return F.struct(pos.alias("pos"), reason.alias("reason"))
 
-    per_user = F.filter(F.transform(users, of_user), lambda entry: entry["reason"].isNotNull())
+    def of_age(user: Column, pos: Column) -> Column:
+        sent = user["dob"]["age"]
+        whole = (F.schema_of_variant(sent) == "BIGINT") & F.try_variant_get(sent, "$", "int").isNotNull()
+        bad = sent.isNotNull() & ~F.is_variant_null(sent) & ~whole
+        kept = of_user(user, pos)["reason"].isNull()
+        return F.struct(pos.alias("pos"), F.when(kept & bad, "bad age").alias("reason"))
+
+    def told(entries: Column) -> Column:
+        return F.filter(entries, lambda entry: entry["reason"].isNotNull())
+
+    per_user, warnings = told(F.transform(users, of_user)), told(F.transform(users, of_age))
     whole = F.array(F.struct(F.lit(None).cast("int").alias("pos"), of_message.alias("reason")))
     reasons = F.when(n_users == 0, whole).otherwise(per_user)
     # A generator of one row, for the reason given at `_explode`.
-    verdict = F.array(F.struct(n_users.alias("n_users"), reasons.alias("reasons")))
+    none = F.slice(whole, 1, 0)
+    warnings = F.coalesce(warnings, none).alias("warnings")
+    verdict = F.array(F.struct(n_users.alias("n_users"), reasons.alias("reasons"), warnings))
     return parsed.select(*carried, "value", F.inline_outer(verdict))
 
 
-def quarantine(messages: DataFrame) -> DataFrame:
+def quarantine(messages: DataFrame, with_warnings: bool = False) -> DataFrame:
     """Messages with anything a keyed table cannot hold: the reasons, and the text once.
 
-    The usable rows and the reasons together account for every message.
+    The usable rows and the reasons together account for every message. With
+    `with_warnings` also messages whose users are all stored, some without the
+    age that was sent.
     """
-    return judged(messages).where(F.size("reasons") > 0).drop("n_users")
+    found = F.size("reasons") > 0
+    if with_warnings:
+        found = found | (F.size("warnings") > 0)
+    return judged(messages).where(found).drop("n_users")

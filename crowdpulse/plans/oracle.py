@@ -57,9 +57,13 @@ _OVER_USERS = {
     "full_name": "SELECT c_custkey, replace(c_name, '#', ' ') AS full_name FROM customer",
     "quarantine": """
         SELECT reason, count(*) AS n FROM (
-          SELECT CASE WHEN CAST(user_id AS BIGINT) % 50 = 0 THEN 'no user_id' ELSE 'usable' END
+          SELECT CASE WHEN CAST(user_id AS BIGINT) % 50 = 0 THEN 'no user_id'
+                      WHEN ingestion_timestamp % 400 = 0 THEN 'bad ingestion_time' ELSE 'usable' END
                  AS reason FROM users
           UNION ALL
+          SELECT 'bad age' FROM users
+          WHERE age % 10 = 7 AND CAST(user_id AS BIGINT) % 50 <> 0 AND ingestion_timestamp % 400 <> 0
+          UNION ALL
           SELECT CASE WHEN trim(text) = '' THEN 'empty message' ELSE 'malformed' END FROM documents
         ) GROUP BY reason
     """,

@@ -182,16 +182,28 @@ def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes with every fiftieth key missing, mixed with documents that are no envelopes."""
+    """Envelopes with faults, mixed with documents that are no envelopes.
+
+    Every fiftieth key is missing, the stamps of some polls are in milliseconds,
+    and ages that end in 7 are sent as text: those users are stored, with a warning.
+    """
     feed = fixture.user_feed(spark, sf_dir)
-    key = F.col("user_id")
-    holed = feed.withColumn("user_id", F.when(key.cast("long") % 50 != 0, key))
-    envelopes = fixture.messages(holed).select("value")
+    key, stamp = F.col("user_id"), F.col("ingestion_timestamp")
+    holed = feed.withColumns(
+        {
+            "user_id": F.when(key.cast("long") % 50 != 0, key),
+            "ingestion_timestamp": F.when(stamp % 400 == 0, stamp * 1000).otherwise(stamp),
+        }
+    )
+    envelopes = fixture.messages(holed).select(
+        F.regexp_replace(text_of(), r'"age":([0-9]*7)\}', r'"age":"$1"}').cast("binary").alias("value")
+    )
     documents = fixture.table(spark, sf_dir, "documents")
     mixed = envelopes.unionAll(documents.select(F.col("text").cast("binary").alias("value")))
     bad = F.col("reasons.reason")
     usable = F.array_repeat(F.lit("usable"), F.greatest(F.col("n_users") - F.size(bad), F.lit(0)))
-    reasons = judged(mixed).select(F.explode(F.concat(bad, usable)).alias("reason"))
+    told = F.concat(bad, usable, F.col("warnings.reason"))
+    reasons = judged(mixed).select(F.explode(told).alias("reason"))
     return reasons.groupBy("reason").agg(F.count("*").alias("n"))
 
 

@@ -89,6 +89,8 @@ _ELEMENT_PATHS = {
     "full_name": [("name", "first", T.StringType()), ("name", "last", T.StringType())],
     "country": [("location", "country", T.StringType())],
     "age": [("dob", "age", T.IntegerType())],
+    # The same field as it was sent, whatever its type.
+    "age_as_sent": [("dob", "age", T.VariantType())],
     "email": [("email", None, T.StringType())],
 }
 

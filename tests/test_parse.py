@@ -144,3 +144,21 @@ def test_many_keyless_users_keep_one_copy_of_the_text(messages):
     frame = messages(envelope(*[user(None) for _ in range(200)]))
     (bad,) = quarantine(frame).collect()
     assert [e.pos for e in bad.reasons] == list(range(200))
+
+
+def test_an_age_of_the_wrong_type_is_told_apart_from_none(messages):
+    def user(age):
+        return f'{{"login":{{"uuid":"u"}},"dob":{{{age}}}}}'
+
+    ages = ['"age":34', '"age":"x"', '"age":"34"', '"age":34.7', '"age":null', "", '"age":{"a":1}', '"age":99999999999']
+    whole = f'{{"results":[{",".join(map(user, ages))}],"ingestion_timestamp":5}}'
+    keyless = '{"results":[{"login":{},"dob":{"age":"x"}}],"ingestion_timestamp":5}'
+    frame = messages(whole, keyless)
+    rows = {r.offset: r for r in quarantine(frame, with_warnings=True).collect()}
+    assert [(w.pos, w.reason) for w in rows[0].warnings] == [(i, "bad age") for i in (1, 2, 3, 6, 7)]
+    assert rows[0].reasons == [] and rows[1].warnings == []
+    stored = flatten_users(frame, ("user_id", "age")).where("user_id IS NOT NULL").collect()
+    assert [r.age for r in stored] == [34, None, None, None, None, None, None, None]
+    fine = messages('{"results":[{"login":{"uuid":"u"},"dob":{"age":3}}],"ingestion_timestamp":5}')
+    assert quarantine(fine, with_warnings=True).count() == 0
+    assert [r.offset for r in quarantine(frame).collect()] == [1]
