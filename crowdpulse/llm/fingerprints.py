@@ -9,6 +9,7 @@ is found by binary search.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.frames import picked
+from crowdpulse.llm.merkle import numbered
 from crowdpulse.llm.shingles import mix
 
 PRIME = (1 << 31) - 1
@@ -203,72 +205,74 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _ranges(ids: DataFrame, parts: int) -> tuple[list[int], dict[int, int]]:
-    """Upper bounds of about equal ranges of ids, and which range is lent which id.
+#: Bytes of input in a range, about; the session's width is the least number of ranges.
+RANGE_BYTES = 256 << 20
+# Spark says so much, or more, of rows that it knows no size of.
+UNKNOWN = 1 << 56
+
+Key = tuple[bool, int, int]  # no doc_id; minus the doc_id; hash of the text
 
-    Both are as long as there are ranges. Ids descend, so the row after a
-    range's last one is the first, the greatest, of the next lower range that
-    has rows; after the lowest comes the greatest of all.
-    """
-    shares = [(k + 1) / parts for k in range(parts - 1)]
-    found = ids.agg(F.percentile_approx("doc_id", shares, 10_000).alias("q")).first()["q"]
-    bounds = sorted(set(found or []))
-    number = F.coalesce(_number(bounds)("doc_id"), F.lit(0))
-    heads = ids.groupBy(number.alias("range")).agg(F.max("doc_id").alias("head")).collect()
-    order = sorted((row["range"], row["head"]) for row in heads)
-    return bounds, {order[at][0]: order[at - 1][1] for at in range(len(order))}
-
-
-def _number(bounds: list[int]):
-    @F.pandas_udf("int")
-    def number(ids):
-        import pandas as pd
 
-        known = ids.notna()
-        out = np.searchsorted(np.array(bounds, dtype=np.int64), ids[known].astype("int64"))
-        return pd.Series(out, index=ids.index[known]).reindex(ids.index).astype("Int32")
+def _order_key(doc_id: int | None, text_hash: int) -> Key:
+    """Ascends as rows follow each other: doc_ids descend, null last, then texts by their hash."""
+    return doc_id is None, 0 if doc_id is None else -doc_id, text_hash
 
-    return number
+
+def _bounds(docs: DataFrame, parts: int) -> list[Key]:
+    """The first key of each of about equal ranges; as many rows come to the driver as there are ranges.
+
+    Keys hold the text's hash, so rows that share a doc_id, or have none, are
+    spread over ranges like the others; only equal rows are not.
+    """
+    keys = docs.select(F.lit(0).alias("all"), "doc_id", F.xxhash64("text").alias("h"))
+    placed = numbered(keys, "all", [F.col("doc_id").desc_nulls_last(), F.col("h")])
+    number = F.expr(f"at * {parts} div n")
+    heads = placed.groupBy(number.alias("range")).agg(F.min_by(F.struct("doc_id", "h"), "at").alias("head"))
+    return sorted({_order_key(*row["head"]) for row in heads.collect()})
 
 
 def compare_neighbours(documents: DataFrame, parts: int | None = None) -> DataFrame:
     """Fingerprints of each row's text and of its edited text, with likenesses.
 
     The next document of a row is the one with the next lower doc_id, after
-    the last the first. Rows of one doc_id follow each other by text; rows
-    without a doc_id come last, also by text. A null text is empty; the
+    the last the first. Rows of one doc_id follow each other by their text's
+    hash; rows without a doc_id come last, likewise. A null text is empty; the
     likeness of two empty texts is 1, of an empty and another one 0. A single
     row is its own next. prefix_edited and prefix_next are the lengths of the
     longest common prefixes. Only doc_id and text are read.
 
-    Every text is shuffled once, to the range of its doc_id, and sorted there.
-    The first row of the next range comes along as a lent copy, so no join and
-    no window over all rows is needed.
+    Every text is shuffled once, to its range of (doc_id, hash), and sorted
+    there; ranges are of RANGE_BYTES of input. The first row of the next range
+    comes along as a lent copy, so no join and no window over all rows is needed.
     """
     docs = picked(documents, doc_id="long", text="string")
     spark = documents.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds, lends = _ranges(docs.select("doc_id"), parts)
-    heads: dict[int | None, list[int]] = {}
-    for number, head in lends.items():
-        heads.setdefault(head, []).append(number)
+    if parts is None:
+        size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = size if size < UNKNOWN else 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    bounds = _bounds(docs, parts)
+    # The first key of each range goes also to the range before, the first range's to the last.
+    lends: dict[Key, int] = {key: (at - 1) % len(bounds) for at, key in enumerate(bounds)}
 
     @F.pandas_udf("array<struct<range:int,lent:boolean>>")
-    def places(ids):
+    def places(ids, hashes):
         import pandas as pd
 
-        known = ids.notna().to_numpy()
-        numbers = np.zeros(len(ids), dtype=np.int64)
-        numbers[known] = np.searchsorted(np.array(bounds, dtype=np.int64), ids[known].astype("int64"))
+        # As text, since a null among them would make the numbers floats.
+        known = ids.notna().tolist()
         out = []
-        for number, value in zip(numbers.tolist(), ids.tolist()):
-            key = None if value is None or value != value else int(value)
-            place = [{"range": number, "lent": False}]
-            out.append(place + [{"range": to, "lent": True} for to in heads.get(key, ())])
+        for there, doc_id, text_hash in zip(known, ids.tolist(), hashes.tolist()):
+            key = _order_key(int(doc_id) if there else None, text_hash)
+            place = [{"range": bisect_right(bounds, key) - 1, "lent": False}]
+            if key in lends:
+                place.append({"range": lends[key], "lent": True})
+            out.append(place)
         return pd.Series(out)
 
-    placed = docs.select("doc_id", "text", F.explode(places("doc_id")).alias("place"))
-    placed = placed.select("place.*", "doc_id", "text")
-    order = ["range", "lent", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    ranged = placed.repartitionById(parts, F.col("range")).sortWithinPartitions(*order)
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    placed = hashed.select("doc_id", "text", "h", F.explode(places(F.col("doc_id").cast("string"), "h")).alias("place"))
+    placed = placed.select("place.*", "doc_id", "text", "h")
+    order = ["range", "lent", F.col("doc_id").desc_nulls_last(), "h", F.col("text").asc_nulls_first()]
+    ranged = placed.repartitionById(parts, F.col("range")).sortWithinPartitions(*order).drop("h")
     return ranged.mapInArrow(_compare, _RESULT_DDL)

@@ -212,6 +212,70 @@ def test_neighbours_equal_a_plain_walk(spark, sf_dir):
         assert got[doc_id].edited_fingerprint == fingerprints.PrefixHash(changed).fingerprint()
 
 
+def _sample(text):
+    """The fingerprint's parts from plain integers: all spans' hashes, smallest first."""
+    points = [ord(c) + 1 for c in text]
+
+    def span(start, length):
+        parts = []
+        for base in fingerprints.BASES:
+            value = 0
+            for at in range(length - 1, -1, -1):
+                value = (value * base + points[start + at]) % fingerprints.PRIME
+            parts.append(value)
+        return parts[0] << 31 | parts[1]
+
+    n = len(points)
+    if not n:
+        return set()
+    hashes = [span(i, min(n, 16)) for i in range(max(1, n - 15))]
+    return set((fingerprints.mix(np.array(hashes, dtype=np.uint64)) >> np.uint64(32)).tolist())
+
+
+def _plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    x, y = (set(sorted(_sample(t))[:64]) for t in (a, b))
+    union = set(sorted(x | y)[:64])
+    jaccard = len(x & y & union) / len(union) if union else 0.0
+    return min(2 * jaccard / (1 + jaccard), 1 - 1 / (2 * max(len(a), len(b)) + 2))
+
+
+def test_hashes_likenesses_and_prefixes_equal_plain_ones(spark):
+    """Several texts under one doc_id, rows without one, over many ranges; every value by hand."""
+    rng = random.Random(6)
+    base = [rng.choice(["alpha ", "beta é ", "gamma\U0001f600 ", "delta "]) for _ in range(60)]
+    rows = []
+    for i in range(90):
+        words = [w if rng.random() > 0.1 else rng.choice(base) for w in base[: rng.randint(0, 60)]]
+        rows.append((rng.choice([None, 5, i, i + 1]), "".join(words)))
+    rows += [(None, None), (5, ""), (7, "same"), (7, "same")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = []
+    for at, (doc_id, text) in enumerate(order):
+        text, following = text or "", order[(at + 1) % len(order)][1] or ""
+        changed = fingerprints.edited(text, following)
+        prefix = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        want.append((doc_id, len(text), sha256(changed.encode()).hexdigest(),
+                     round(_plain_likeness(text, changed), 9), round(_plain_likeness(text, following), 9),
+                     prefix(text, changed), prefix(text, following)))
+    for parts in (1, 7, 40):
+        got = fingerprints.compare_neighbours(docs.repartition(3), parts).collect()
+        found = [(r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9),
+                  r.prefix_edited, r.prefix_next) for r in got]
+        assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+def test_rows_without_a_doc_id_are_spread_over_ranges(spark):
+    docs = spark.range(6_000).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "concat('t', id) AS text")
+    frame = fingerprints.compare_neighbours(docs, 16)
+    assert frame.count() == 6_000
+    bounds = fingerprints._bounds(docs, 16)
+    assert len(bounds) == 16 and sum(key[0] for key in bounds) in (5, 6)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3])
 def test_few_neighbours(spark, n):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(n)], "doc_id long, text string")
