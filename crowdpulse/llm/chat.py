@@ -9,15 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import cut
+from crowdpulse.llm.frames import cut, numbered
 
 PART_TURNS = 64
 SPEAKER, END = "<|", "<|end|>\n"
 
 
+def _escaped(text: Column) -> Column:
+    """A mark in what somebody says is broken, so that nobody can forge a turn."""
+    return F.replace(text, F.lit(SPEAKER), F.lit("<\\|"))
+
+
 def _head(role: Column, perspective: Column) -> Column:
     name = F.when(role == perspective, F.lit("assistant")).otherwise(
-        F.concat(F.lit("user name="), role)
+        F.concat(F.lit("user name="), F.replace(_escaped(role), F.lit("|>"), F.lit("|\\>")))
     )
     return F.concat(F.lit(SPEAKER), name, F.lit("|>\n"))
 
@@ -25,16 +30,15 @@ def _head(role: Column, perspective: Column) -> Column:
 def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """(conv_id, perspective, part, n_turns, text, mask) for every participant.
 
-    The parts of one rendering, in order, are its text: a part holds the turns
-    with the same turn number divided by `part_turns`, rounded down, so a long
-    dialogue is never put together in one task. mask lists the stretches
+    The parts of one rendering, in order, are its text: a part holds
+    `part_turns` turns by their place in the dialogue, so a long one is never put
+    together in one task, whatever its turns' numbers. mask lists the stretches
     start:end (code points inside the part, end exclusive) that the assistant
     says, its end mark included, joined by commas. Turns are ordered by
-    number, then speaker, then text; repeated rows are repeated turns. A null
-    text is empty, a null role the speaker "unknown", null turns come in a
-    part of their own, number -1, before the others; rows without a conv_id
-    are one conversation. Columns besides conv_id, turn, role and text don't
-    take part.
+    number, null first, then speaker, then text; repeated rows are repeated
+    turns. A null text is empty, a null role the speaker "unknown"; rows without
+    a conv_id are one conversation. `<|` in a text or role is written `<\\|`, and
+    `|>` in a role `|\\>`. Columns besides conv_id, turn, role and text don't take part.
     """
     turns = conversations.select(
         F.col("conv_id").cast("long"),
@@ -42,8 +46,11 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long")
-    turns = cut(turns.withColumn("part", part))
+    # Numbered by ranges, so no task or window holds a whole dialogue.
+    group = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    placed = numbered(turns.withColumn("dialogue", group), "dialogue", order)
+    turns = cut(placed.withColumn("part", F.expr(f"at div {int(part_turns)}")).drop("dialogue", "n"))
     speakers = turns.select("conv_id", F.col("role").alias("perspective")).distinct()
     own = turns.withColumnRenamed("conv_id", "c").join(
         speakers, F.col("c").eqNullSafe(F.col("conv_id"))
@@ -54,10 +61,9 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         "perspective",
         "part",
         F.struct(
-            F.coalesce("turn", F.lit(-1).cast("long")).alias("turn"),
+            F.col("at"),
             F.col("role").alias("role"),
-            F.col("text").alias("text"),
-            F.concat(head, "text", F.lit(END)).alias("shown"),
+            F.concat(head, _escaped(F.col("text")), F.lit(END)).alias("shown"),
             F.length(head).alias("head"),
         ).alias("turn"),
     )
@@ -90,14 +96,16 @@ def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
 #: The same rows in SQL; part_turns is PART_TURNS.
 ROTATE_SQL = f"""
 WITH turns AS (
-  SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS role,
-         coalesce(text, '') AS text,
-         CASE WHEN turn IS NULL THEN -1 ELSE CAST(floor(turn / {PART_TURNS}.0) AS BIGINT) END AS part
-  FROM conversations),
+  SELECT conv_id, role, text, place, CAST(place // {PART_TURNS} AS BIGINT) AS part FROM (
+    SELECT conv_id, role, text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+    FROM (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+          FROM conversations))),
 speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns),
 shown AS (
-  SELECT t.conv_id, perspective, part, turn, role, text,
-         '{SPEAKER}' || CASE WHEN role = perspective THEN 'assistant' ELSE 'user name=' || role END
+  SELECT t.conv_id, perspective, part, place, role, replace(text, '<|', '<\\|') AS text,
+         '{SPEAKER}' || CASE WHEN role = perspective THEN 'assistant'
+                             ELSE 'user name=' || replace(replace(role, '<|', '<\\|'), '|>', '|\\>') END
            || '|>' || chr(10) AS head
   FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 whole AS (
@@ -105,7 +113,7 @@ whole AS (
 placed AS (
   SELECT *, row_number() OVER w AS rank,
          CAST(sum(length(line)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
-  FROM whole WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text))
+  FROM whole WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY place))
 SELECT conv_id, perspective, part, count(*) AS n_turns,
        string_agg(line, '' ORDER BY rank) AS text,
        coalesce(string_agg(

@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import picked
-from crowdpulse.llm.merkle import numbered
+from crowdpulse.llm.frames import numbered, picked
 from crowdpulse.llm.shingles import mix
 
 PRIME = (1 << 31) - 1

@@ -19,10 +19,10 @@ from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import cut, picked
+from crowdpulse.llm.frames import cut, numbered, picked
 
 #: Nodes that are joined to one.
 ARITY = 3
@@ -82,28 +82,6 @@ class Block:
         return copied
 
 
-def numbered(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
-    """The rows with their place `at` in their group, from 0, and the group's number of rows `n`.
-
-    Rows are dealt out by ranges of (group, order), so a group that holds a third
-    of all rows is spread like the rest; only a count per group and range is
-    summed up, which is at most one row per range beyond one per group.
-    """
-    sorted_rows = rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
-    # Written, so that no lost task can number its rows in another order.
-    placed = cut(sorted_rows.withColumn("_id", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_part", F.shiftright("_id", 33))
-    counts = placed.groupBy(group, "_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_from"))
-    parts = Window.partitionBy(group)
-    before = parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumns(
-        {"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "n": F.sum("_n").over(parts)}
-    )
-    place = F.col("_before") + F.col("_id") - F.col("_from")
-    joined = placed.join(counts.drop("_n"), [group, "_part"])
-    return joined.withColumn("at", place).drop("_id", "_part", "_before", "_from")
-
-
 def _block_of(nodes: DataFrame, leaves: int) -> DataFrame:
     return nodes.withColumn("block", F.expr(f"at div {leaves}"))
 
