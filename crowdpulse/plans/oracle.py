@@ -140,6 +140,17 @@ _OVER_USERS = {
         SELECT s.sink, s.sink = 'keyed' AS failed, 0 AS active, count(*) AS n
         FROM users CROSS JOIN (VALUES ('append'), ('keyed')) AS s(sink) GROUP BY s.sink
     """,
+    "tallies_of_odd_rows": """
+        SELECT country, gender, count(*) AS n, CAST(sum(age) AS BIGINT) AS age_sum, count(age) AS age_n,
+               max(ingestion_time) AS last_update
+        FROM (
+          SELECT CASE WHEN CAST(user_id AS BIGINT) % 3 = 0 THEN 'HOT'
+                      WHEN CAST(user_id AS BIGINT) % 11 <> 0 THEN country END AS country,
+                 CASE WHEN CAST(user_id AS BIGINT) % 7 <> 0 THEN gender END AS gender,
+                 CASE WHEN CAST(user_id AS BIGINT) % 13 <> 0 THEN age END AS age, ingestion_time
+          FROM users
+        ) GROUP BY country, gender
+    """,
     "statistics_exact": """
         SELECT country, count(*) AS count_users, avg(age) AS avg_age, max(ingestion_time) AS last_update
         FROM (

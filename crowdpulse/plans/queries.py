@@ -497,6 +497,28 @@ def statistics_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stats_edge(views.read()["country_stats"])
 
 
+def tallies_of_odd_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept tallies over users without an age, a country or a gender, one hot country, and repeats.
+
+    A fifth of the users is published a second time at higher offsets.
+    """
+    root, feed = new_folder(spark, "tables"), fixture.user_feed(spark, sf_dir)
+    key = F.col("user_id").cast("long")
+    odd = feed.withColumns(
+        {
+            "age": F.when(key % 13 != 0, F.col("age")),
+            "country": F.when(key % 3 == 0, F.lit("HOT")).when(key % 11 != 0, F.col("country")),
+            "gender": F.when(key % 7 != 0, F.col("gender")),
+        }
+    )
+    topic, progress = _topic(spark, odd), new_folder(spark, "progress")
+    publish_to_files(fixture.messages(odd.where(key % 5 == 0)), topic, first_offset=SECOND_ROUND)
+    views = _kept_views(spark, topic, progress, root)
+    discard(spark, topic)
+    discard(spark, progress)
+    return _stats_edge(views.read()["tallies"])
+
+
 def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic -> users table with its views -> the KPI row."""
     root = new_folder(spark, "tables")
@@ -582,6 +604,7 @@ _QUERIES: dict[str, Query] = {
     "sink_new_checkpoint": sink_new_checkpoint,
     "sink_failure": sink_failure,
     "statistics_exact": statistics_exact,
+    "tallies_of_odd_rows": tallies_of_odd_rows,
 }
 
 
@@ -611,6 +634,7 @@ _WIDE = {
     "sink_failure",
     "ddl_users_schema",
     "statistics_exact",
+    "tallies_of_odd_rows",
 }
 
 
