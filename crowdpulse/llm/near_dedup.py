@@ -12,10 +12,15 @@ five-word shingles reaches a threshold. The steps:
    Pairs estimated clearly below the threshold are not compared further.
 4. In each bucket all members are compared with one pivot, the member found in
    the fullest buckets; links are confirmed on the whole shingle sets.
-5. Only pairs of a bucket that these links leave in different components are
-   then estimated, in blocks of bounded size, and confirmed in the same way.
-
-No step expands the copies of a class or lists all pairs of a bucket.
+5. Only buckets that these links leave in several components are looked at again,
+   by prefixes: shingles are ordered from the rarest on, and a pair that reaches
+   the threshold shares one early in both sets. Pairs that share none, among them
+   those of a template whose texts each differ in words of their own, are never
+   listed. The others are estimated; each document's nearest partner is
+   confirmed first, then what still lies in different components.
+
+No step expands the copies of a class or lists all pairs of a bucket. A document
+in very many pairs is spread over tasks by its partners.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.components import components
@@ -38,7 +43,10 @@ BAND_ROWS = 4
 SKETCH_BITS = 2048
 # How far below the threshold an estimate may lie: more than four deviations.
 MARGIN = 0.08
-BLOCK_ROWS = 1024
+# A task meets at most so many rows of one shingle, or partners of one document.
+BLOCK_ROWS = 256
+# Documents with more partners than that are broadcast up to this number, else joined.
+MOST_BROADCAST = 100_000
 
 _FACTOR = random_words(HASHES, 11) | np.uint64(1)
 _SHIFT = random_words(HASHES, 12)
@@ -121,19 +129,38 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole shingle sets are similar enough.
+def _looked_up(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """The written pairs (a, b) with the row of `left` whose id is a and that of `right` whose id is b.
 
-    Both tables are written ones: pairs may hold one pivot very often, and
-    Spark splits such a partition of a join between written tables.
+    A row with more than BLOCK_ROWS partners is copied once per so many of them,
+    so that no task of a join holds all the pairs of one document.
     """
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
+    joined = pairs
+    for side, other, rows in (("a", "b", left), ("b", "a", right)):
+        rows = rows.withColumnRenamed("id", side)
+        parts = F.ceil(F.count("*") / BLOCK_ROWS).alias("parts")
+        hot = cut(pairs.groupBy(side).agg(parts).where("parts > 1"))
+        many = hot.count()
+        if not many:
+            joined = joined.join(rows, side)
+            continue
+        hot = F.broadcast(hot) if many <= MOST_BROADCAST else hot
+        parts = F.coalesce("parts", F.lit(1))
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+        joined = joined.join(hot, side, "left").withColumn("part", F.pmod(F.xxhash64(other), parts))
+        rows = rows.join(hot, side, "left").withColumn("part", copies).drop("parts")
+        joined = joined.drop("parts").join(rows, [side, "part"]).drop("part")
+    return joined
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the written pairs (a, b) whose whole shingle sets are similar enough."""
+    sets = sets.select("id", "shingles")
+    both = _looked_up(pairs, sets.toDF("id", "left"), sets.toDF("id", "right"))
     shared = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - shared
     counted = both.select("a", "b", shared.alias("shared"), union.alias("total"))
-    return counted.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+    return counted.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b").distinct()
 
 
 def _differ(left: str, right: str) -> F.Column:
@@ -141,38 +168,99 @@ def _differ(left: str, right: str) -> F.Column:
     return F.aggregate(pieces, F.lit(0), lambda total, bits: total + bits)
 
 
-def _cross_pairs(percent: int, most: int):
-    """Pairs of a block (two chunks of one bucket) that may be links between components."""
-
-    def pairs(block):
-        import pandas as pd
-
-        block = block.sort_values(["id", "n_shingles"], kind="stable").reset_index(drop=True)
-        ids, labels = block["id"].to_numpy(), block["label"].to_numpy()
-        sizes = block["n_shingles"].to_numpy()
-        # Unsigned, since numpy counts the bits of absolute values.
-        sketches = np.stack(block["sketch"].to_list()).view(np.uint64)
-        bands = np.stack(block["bands"].to_list())
-        chunks = block["chunk"].to_numpy()
-        # A pair that shares several buckets is reported by the first band of them alone.
-        band = int(np.flatnonzero(bands[0] == block["key"].iloc[0])[0])
-        first, second = int(block["first"].iloc[0]), int(block["second"].iloc[0])
-        rights = np.flatnonzero(chunks == second)
-        out = []
-        for i in np.flatnonzero(chunks == first):
-            js = rights[rights > i] if first == second else rights
-            js = js[labels[js] != labels[i]]
-            small, large = np.minimum(sizes[js], sizes[i]), np.maximum(sizes[js], sizes[i])
-            js = js[small * 100 >= large * percent]
-            bits = np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1)
-            js = js[bits <= most]
-            js = js[~(bands[js, :band] == bands[i, :band]).any(axis=1)]
-            if len(js):
-                out.append(np.column_stack([np.full(len(js), ids[i]), ids[js]]))
-        found = np.concatenate(out) if out else np.empty((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": found.min(axis=1), "b": found.max(axis=1)})
-
-    return pairs
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Those of the written pairs (a, b) that sketches and sizes allow to be links, with their differing `bits`."""
+    sketch = nodes.select("id", "sketch", "n_shingles")
+    both = _looked_up(pairs, sketch.toDF("id", "left", "n_left"), sketch.toDF("id", "right", "n_right"))
+    close = both.where(
+        F.least("n_left", "n_right") * 100 >= F.greatest("n_left", "n_right") * percent
+    ).select("a", "b", _differ("left", "right").alias("bits"))
+    # A document with several texts has a sketch for each.
+    close = close.where(F.col("bits") <= differing_bits(percent / 100 - MARGIN))
+    return close.groupBy("a", "b").agg(F.min("bits").alias("bits"))
+
+
+def _prefixes(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(token, id, label, n, rest, lead): the rarest shared shingles of each set of `labels` (id, label).
+
+    Each set is ordered from its rarest shingle in all these sets on; those that no
+    other set has come first and take no part. rest counts a shingle and those
+    after it. Beyond the prefix too few are left for a link with any set, and
+    after the `lead` ones for a link with any set as large or larger.
+    """
+    tokens = sets.join(labels, "id").select(
+        "id",
+        "label",
+        F.xxhash64("shingles").alias("text"),
+        F.size("shingles").alias("n"),
+        F.explode("shingles").alias("token"),
+    )
+    shared = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    own = Window.partitionBy("id", "text")
+    after = F.row_number().over(own.orderBy("f", "token"))
+    placed = tokens.join(shared, "token").withColumn(
+        "place", F.col("n") - F.count("*").over(own) + after - 1
+    )
+    placed = placed.withColumn("rest", F.col("n") - F.col("place"))
+    return placed.where(F.col("rest") * 100 >= F.col("n") * percent).select(
+        "token", "id", "label", "n", "rest",
+        (F.col("rest") * (100 + percent) >= F.col("n") * 2 * percent).alias("lead"),
+    )
+
+
+def _cross_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Different pairs (a, b) of sets of two labels that the prefixes allow to be links."""
+    prefixes = cut(_prefixes(sets, labels, percent))
+    live = prefixes.groupBy("token").agg(
+        F.count("*").alias("size"),
+        F.min("label").alias("x"),
+        F.max("label").alias("y"),
+        F.max("lead").alias("lead"),
+    )
+    live = live.where("lead AND x != y").select("token", "size")
+    chunks = F.ceil(F.col("size") / BLOCK_ROWS).cast("long")
+    rows = prefixes.join(live, "token")
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))
+    )
+    rows = rows.select("token", "chunk", "other", "id", "label", "n", "rest", "lead")
+    first = rows.where("lead").toDF("token", "one", "two", "a", "label_a", "n_a", "rest_a", "lead")
+    second = rows.toDF("token", "two", "one", "b", "label_b", "n_b", "rest_b", "lead_b")
+    pairs = first.drop("lead").join(second.drop("lead_b"), ["token", "one", "two"])
+    pairs = pairs.where("label_a != label_b AND (n_a < n_b OR (n_a = n_b AND a < b))")
+    # The first shingle that both have leaves as many as the shorter rest, which must do for a link.
+    needed = (F.col("n_a") + F.col("n_b")) * percent
+    pairs = pairs.where(F.least("rest_a", "rest_b") * (100 + percent) >= needed)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _links_between(
+    sets: DataFrame, nodes: DataFrame, labels: DataFrame, opened: DataFrame, percent: int
+) -> DataFrame:
+    """`labels` (id, label) after all links between sets of `opened` (id, label) with different labels."""
+    pairs = cut(_cross_pairs(sets, opened, percent))
+    close = cut(_close(pairs, nodes, percent))
+    rows = close.count()
+    if not rows:
+        return labels
+    nearest = [
+        close.groupBy(side).agg(F.min(F.struct("bits", other))[other].alias(other)).select("a", "b")
+        for side, other in (("a", "b"), ("b", "a"))
+    ]
+    tried = cut(dealt(nearest[0].union(nearest[1]).distinct(), rows))
+    tied = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    links = cut(_confirmed(tried, sets, percent))
+    labels = cut(components(tied.unionByName(links)))
+    left = labels.toDF("a", "label_a")
+    right = labels.toDF("b", "label_b")
+    rest = close.select("a", "b").join(tried, ["a", "b"], "left_anti")
+    rest = rest.join(left, "a", "left").join(right, "b", "left")
+    rest = rest.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    more = cut(_confirmed(cut(dealt(rest, rows)), sets, percent))
+    if more.isEmpty():
+        return labels
+    tied = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    return components(tied.unionByName(more))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -189,7 +277,6 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     if percent < 80:
         raise ValueError("the bands find pairs of 80 % similarity and more")
     docs = picked(documents, doc_id="long", text="string")
-    most = differing_bits(percent / 100 - MARGIN)
     signatures = cut(docs.mapInArrow(_signatures, _SIGNATURE))
     usable = signatures.where("set_key is not null and doc_id is not null")
     classes = cut(usable.groupBy("set_key").agg(F.min("doc_id").alias("id")))
@@ -211,20 +298,14 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     pivots = weighed.groupBy("key").agg(F.max(F.struct("mass", "id"))["id"].alias("pivot"))
     stars = buckets.join(cut(dealt(pivots, rows)), "key").where("id != pivot")
     stars = stars.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    sketch = nodes.select("id", "sketch", "n_shingles")
-    left = sketch.toDF("a", "left", "n_left")
-    right = sketch.toDF("b", "right", "n_right")
-    close = cut(dealt(stars, rows)).join(left, "a").join(right, "b").where(_differ("left", "right") <= most)
-    close = close.where(
-        F.least("n_left", "n_right") * 100 >= F.greatest("n_left", "n_right") * percent
-    )
+    close = _close(cut(dealt(stars, rows)), nodes, percent)
     # Whole sets are made once more, only for documents that share a bucket with others.
     wanted = mass.select(F.col("id").alias("doc_id"))
     sets = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
     # Copies under one doc_id would multiply its pairs. They lie in one partition, so no second shuffle.
     sets = sets.select("doc_id", "text").distinct()
     sets = cut(sets.mapInArrow(_sets, "id long, shingles array<long>"))
-    links = cut(_confirmed(cut(close.select("a", "b").distinct()), sets, percent).distinct())
+    links = cut(_confirmed(cut(close.select("a", "b")), sets, percent))
     free(documents.sparkSession)
 
     # Rows of one document with several texts tie their classes together.
@@ -243,29 +324,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     labelled = buckets.where("size > 2").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     open_keys = cut(dealt(split.where("x != y").select("key"), rows))
-    labelled = cut(dealt(labelled.join(open_keys, "key", "left_semi"), rows))
-    chunks = F.ceil(F.col("size") / BLOCK_ROWS).cast("long")
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
-    blocks = (
-        labelled.withColumn("chunks", chunks)
-        .withColumn("chunk", chunk)
-        .withColumn("other", F.explode(every))
-        .withColumn("first", F.least("chunk", "other"))
-        .withColumn("second", F.greatest("chunk", "other"))
-        .join(nodes, "id")
-    )
-    blocks = blocks.select(
-        "key", "first", "second", "chunk", "id", "label", "n_shingles", "bands", "sketch"
-    )
+    opened = labelled.join(open_keys, "key", "left_semi").select("id", "label").distinct()
+    opened = cut(dealt(opened, rows))
     free(documents.sparkSession)
-    found = blocks.groupBy("key", "first", "second").applyInPandas(
-        _cross_pairs(percent, most), "a long, b long"
-    )
-    more = cut(_confirmed(cut(dealt(found.distinct(), rows)), sets, percent).distinct())
+    final = _links_between(sets, nodes, labels, opened, percent)
     free(documents.sparkSession)
-    joined = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-    final = components(joined.unionByName(more))
     classes = classes.join(final, "id", "left").select(
         "set_key", F.coalesce("label", "id").alias("label")
     )

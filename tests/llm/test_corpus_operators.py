@@ -319,3 +319,66 @@ def test_repeated_rows_of_a_document_make_one_set(spark, monkeypatch):
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter((r.doc_id, r.component_id) for r in got) == {(1, 1): 25, (2, 1): 20, (3, 3): 1}
     assert seen and all(counts == {1: 1, 2: 1} for counts in seen)
+
+
+def _pairs_confirmed(spark, monkeypatch, rows):
+    """The components, and how many pairs were confirmed on whole sets to find them."""
+    from crowdpulse.llm import near_dedup
+
+    sent = []
+    confirmed = near_dedup._confirmed
+
+    def watched(pairs, sets, percent):
+        sent.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(near_dedup, "_confirmed", watched)
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: r.component_id for r in got}, sum(sent)
+
+
+def test_pairs_of_a_template_grow_with_its_texts(spark, monkeypatch):
+    """Texts of one template, all just below the threshold: not every pair is confirmed."""
+    base = [f"w{i}" for i in range(300)]
+    sent = {}
+    for n in (100, 300):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for j in range(5):  # 25 of 296 shingles each: 271 of 321 are shared by two texts
+                words[10 + 60 * j] = f"v{i}x{j}"
+            rows.append((i, " ".join(words)))
+        got, sent[n] = _pairs_confirmed(spark, monkeypatch, rows)
+        assert got == {i: i for i in range(n)}
+    # A text is compared with the pivots of its buckets alone.
+    assert sent[100] < 400 and sent[300] < 4 * sent[100], sent
+
+
+def test_components_of_a_template_with_few_values_equal_brute_force(spark, monkeypatch):
+    """Slots of few values and texts of unequal length: links across components of a bucket are found."""
+    dice, rows = random.Random(5), []
+    for i in range(150):
+        words = [f"w{j}" for j in range(200 + dice.randrange(0, 40))]
+        for j in range(7):
+            if dice.random() < 0.8:
+                words[8 + 27 * j] = f"v{j}x{dice.randrange(6)}"
+        rows.append((i, " ".join(words)))
+    rows.append((3, " ".join(f"z{j}" for j in range(90))))  # a second text of one document
+    got, _ = _pairs_confirmed(spark, monkeypatch, rows)
+    want, _ = brute_components(rows)
+    assert len(set(want.values())) > 3
+    assert got == want
+
+
+def test_a_pivot_with_many_partners(spark, monkeypatch):
+    """Lookups that copy a document's row for its partners give what plain ones give."""
+    from crowdpulse.llm import near_dedup
+
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join([*base[:140], *[f"v{i}"] * (i % 4)])) for i in range(60)]
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 4)
+    want, _ = brute_components(rows)
+    for most in (100_000, 0):
+        monkeypatch.setattr(near_dedup, "MOST_BROADCAST", most)
+        assert _pairs_confirmed(spark, monkeypatch, rows)[0] == want
