@@ -11,6 +11,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -29,7 +30,7 @@ class WordTokenizer:
     """Ids as little-endian unsigned 32-bit bytes.
 
     Between texts it keeps the ids of up to KEPT_WORDS words; then it starts
-    anew and encodes again what comes.
+    anew and encodes again what comes, but for words it has just looked up.
     """
 
     def __init__(self, path: str):
@@ -52,13 +53,13 @@ class WordTokenizer:
         for at in range(0, len(letters), _BATCH):
             # A run of letters is one piece, and its last id says that a word ends.
             some = letters[at : at + _BATCH]
-            ids = self.library.encode(" ".join(some), add_special_tokens=False).ids
-            ids = np.array(ids, dtype="<u4")
+            data = self.whole([" ".join(some)])[0]
+            ids = np.frombuffer(data, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some):
                 self.kept.update(zip(some, self.whole(some)))
                 continue
-            data, low = ids.tobytes(), 0
+            low = 0
             for word, high in zip(some, (cuts * 4).tolist()):
                 self.kept[word] = data[low:high]
                 low = high
@@ -88,13 +89,30 @@ class WordTokenizer:
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         odd = [any(mark in text for mark in _UNSPLIT) for text in texts]
         words = [[] if alone else self._words(text) for text, alone in zip(texts, odd)]
-        seen = set().union(*words)
-        fresh = seen.difference(self.kept)
+        # One look for each word; what is not kept stays empty until it is learnt.
+        get, nothing = self.kept.get, repeat(b"")
+        found = [list(map(get, parts, nothing)) for parts in words]
+        gaps = [_empty(ids) for ids in found]
+        fresh = {parts[at] for parts, places in zip(words, gaps) for at in places}
+        fresh = fresh.difference(self.kept)
         if len(self.kept) + len(fresh) > KEPT_WORDS:
-            self.kept, fresh = {}, seen
+            self.kept, fresh = {}, {parts[at] for parts, places in zip(words, gaps) for at in places}
         self._learn(fresh)
-        for text, alone, parts in zip(texts, odd, words):
-            yield self.whole([text])[0] if alone else b"".join(map(self.kept.__getitem__, parts))
+        for text, alone, parts, ids, places in zip(texts, odd, words, found, gaps):
+            for at in places:
+                ids[at] = self.kept[parts[at]]
+            yield self.whole([text])[0] if alone else b"".join(ids)
+
+
+def _empty(ids: list[bytes]) -> list[int]:
+    """Where nothing stands."""
+    places, at = [], -1
+    try:
+        while True:
+            at = ids.index(b"", at + 1)
+            places.append(at)
+    except ValueError:
+        return places
 
 
 _OPEN: dict[str, WordTokenizer] = {}

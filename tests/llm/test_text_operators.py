@@ -32,6 +32,19 @@ def test_word_tokenizer_equals_the_library(spark, sf_dir):
     assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(some)] == want
 
 
+def test_words_that_are_found_are_not_learnt_again(monkeypatch):
+    """Also where the kept words are given up for new ones."""
+    own, learnt = tokens.WordTokenizer(tokenizer("word_bpe_49k.json")), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda fresh: (learnt.append(set(fresh)), learn(fresh)))
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
+    some = ["river stone 7", "stone river harbour 7 harbour", "7 river"]
+    for text in some:
+        want = own.library.encode(text, add_special_tokens=False).ids
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode([text])] == [want]
+    assert learnt == [{"river", "stone", "7"}, {"harbour"}, {"river", "7"}]
+
+
 def test_pieces_equal_the_library(spark, sf_dir):
     import sentencepiece
 
