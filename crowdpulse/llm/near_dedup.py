@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.components import components
-from crowdpulse.llm.frames import cut, dealt, free, picked, rows_of
+from crowdpulse.llm.frames import batched, cut, dealt, free, picked, rows_of
 from crowdpulse.llm.shingles import mix, random_words, shingle_sets
 
 HASHES = 384
@@ -313,7 +313,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     On return nothing holds the rows' own bands and sketches any longer.
     """
-    signatures = cut(docs.mapInArrow(_signatures, _SIGNATURE))
+    signatures = cut(batched(docs, _signatures, _SIGNATURE))
     usable = signatures.where("set_key is not null and doc_id is not null")
     classes = cut(usable.groupBy("set_key").agg(F.min("doc_id").alias("id")))
     # One row per class: copies of a row under one doc_id are equal, so distinct takes them away.
@@ -370,7 +370,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     sets = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
     # Copies under one doc_id would multiply its pairs. They lie in one partition, so no second shuffle.
     sets = sets.select("doc_id", "text").distinct()
-    sets = cut(sets.mapInArrow(_sets, "id long, shingles array<long>"))
+    sets = cut(batched(sets, _sets, "id long, shingles array<long>"))
     links = cut(_confirmed(close, sets, percent))
     free(documents.sparkSession)
 

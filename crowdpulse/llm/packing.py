@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import cut, picked
+from crowdpulse.llm.frames import batched, cut, picked
 from crowdpulse.llm.tokens import word_tokenizer
 
 LENGTH = 4096
@@ -298,7 +298,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFram
     pieces need no partner and skip the search.
     """
     docs = picked(documents, doc_id="long", text="string")
-    pieces = cut(docs.mapInArrow(_cut_documents(tokenizer, length), _PIECES))
+    pieces = cut(batched(docs, _cut_documents(tokenizer, length), _PIECES))
     pieces = pieces.withColumn("id", F.monotonically_increasing_id())
     partial = pieces.where(F.col("length") < length)
     placed = _packed_rounds(partial.select("id", "length"), length)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import cut, picked, rows_of
+from crowdpulse.llm.frames import batched, cut, picked, rows_of
 
 STATISTICS = (
     "log_chars log_words word_mean word_deviation upper_letters upper_words title_words symbols "
@@ -20,6 +20,7 @@ STATISTICS = (
 ).split()
 FEATURES = 256
 ROWS_PER_SUM = 50_000
+ROWS_AT_ONCE = 1_000
 RIDGES = (1e-3, 1e-2, 1e-1, 1.0, 10.0)
 FOLDS = (0, 1, 3)  # remainders of crc32(doc_id) mod 4 to learn from; 2 is held out
 HELD_OUT = 2
@@ -106,9 +107,14 @@ class Features:
         d = len(self.mean)
         weights = rng.normal(size=(d, FEATURES)) / np.sqrt(d)
         shift = rng.uniform(0, 2 * np.pi, size=FEATURES)
-        z = np.clip((stats - self.mean) / self.scale, -5, 5)
-        waves = np.sqrt(2 / FEATURES) * np.cos(z @ weights + shift)
-        return np.hstack([waves, np.ones((len(stats), 1))])
+        out = np.ones((len(stats), FEATURES + 1))
+        # A few rows at a time: a batch's waves are 20 MB, and each step would hold as much again.
+        # Shares of equal size, since the product of a single row is rounded in another way.
+        shares = -(-len(stats) // ROWS_AT_ONCE) or 1
+        for some, waves in zip(np.array_split(stats, shares), np.array_split(out[:, :-1], shares)):
+            z = np.clip((some - self.mean) / self.scale, -5, 5)
+            waves[:] = np.sqrt(2 / FEATURES) * np.cos(z @ weights + shift)
+        return out
 
 
 def _stacked(column: pa.Array) -> np.ndarray:
@@ -268,7 +274,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     equal scores. Of `documents` only doc_id and text are read.
     """
     docs = picked(documents, doc_id="long", text="string")
-    stats = cut(docs.mapInArrow(_statistics, "doc_id long, stats array<double>"))
+    stats = cut(batched(docs, _statistics, "doc_id long, stats array<double>"))
     model = fit(stats, labels)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from crowdpulse.llm.frames import picked
+from crowdpulse.llm.frames import batched, picked
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
@@ -290,4 +290,4 @@ def redact(documents: DataFrame) -> DataFrame:
                 columns[place] = pa.array(sizes, type=columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return documents.mapInArrow(masks, documents.schema)
+    return batched(documents, masks, documents.schema)

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _SEED = 0x5EED
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -112,3 +113,21 @@ def test_log_ratios_equal_a_plain_count(spark, sf_dir):
         assert abs(row.log_ratio - mean) < 1e-5
         if abs(mean - quality_rules.THRESHOLD) > 1e-5:
             assert row.kept == (not row.base_failed and mean >= quality_rules.THRESHOLD)
+
+
+def test_features_of_many_rows_are_made_a_few_at_a_time():
+    """The same numbers as at once, without holding several arrays of their size beside them."""
+    n, d = 20_001, len(model.STATISTICS)
+    stats = np.random.default_rng(5).normal(size=(n, d))
+    features = model.Features(stats.mean(axis=0), stats.std(axis=0))
+    tracemalloc.start()
+    found = features(stats)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.3 * found.nbytes
+    rng = np.random.default_rng(20_11)
+    weights = rng.normal(size=(d, model.FEATURES)) / np.sqrt(d)
+    shift = rng.uniform(0, 2 * np.pi, size=model.FEATURES)
+    z = np.clip((stats - features.mean) / features.scale, -5, 5)
+    assert np.allclose(found[:, :-1], np.sqrt(2 / model.FEATURES) * np.cos(z @ weights + shift), rtol=0, atol=1e-12)
+    assert (found[:, -1] == 1).all() and features(stats[:0]).shape == (0, model.FEATURES + 1)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from crowdpulse.llm.frames import BATCH_BYTES, batched
 from crowdpulse.llm.quality_model import quality_scores
 from crowdpulse.llm.quality_rules import rules
 from crowdpulse.llm.queries import table, trusted
@@ -95,3 +97,32 @@ def test_verdicts_of_plain_tables_are_the_operators(spark, sf_dir, stages):
     assert {r.doc_id for r in stages["quality classifier"](spark, docs, sf_dir).collect()} == good
     clean = {r.doc_id for r in rules(docs, trusted(labels)).where("kept").collect()}
     assert {r.doc_id for r in stages["quality rules"](spark, docs, sf_dir).collect()} == clean
+
+
+def test_texts_come_to_python_in_small_batches(spark, sf_dir, stages):
+    """Whatever their length; a batch of 10,000 rows of this table would be 160 MB in executor and worker."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    docs = spark.range(0, 4_000, 1, 1).selectExpr("id AS doc_id", "repeat(format_string('w%d ', id), 2000) AS text")
+    try:
+        spark.conf.unset(limit)
+        found = batched(docs, sizes, "size long, n long").collect()
+        assert sum(r.n for r in found) == 4_000
+        assert max(r.size for r in found) < BATCH_BYTES + (64 << 10)
+
+        # The stages that hand texts to Python set the limit; one of the session's own is left.
+        small = docs.limit(3)
+        for name in ("quality classifier", "MinHash near-dedup", "secret scans", "best-fit packing"):
+            spark.conf.unset(limit)
+            stages[name](spark, small, sf_dir)
+            assert spark.conf.get(limit) == str(BATCH_BYTES), name
+        spark.conf.set(limit, str(1 << 20))
+        found = batched(docs, sizes, "size long, n long").collect()
+        assert max(r.size for r in found) < (1 << 20) + (64 << 10)
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
