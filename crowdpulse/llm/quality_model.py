@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.frames import batched, cut, picked, rows_of
+from crowdpulse.llm.frames import batched, cut, few_rows_read, picked, rows_of
 
 STATISTICS = (
     "log_chars log_words word_mean word_deviation upper_letters upper_words title_words symbols "
@@ -274,7 +274,8 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     equal scores. Of `documents` only doc_id and text are read.
     """
     docs = picked(documents, doc_id="long", text="string")
-    stats = cut(batched(docs, _statistics, "doc_id long, stats array<double>"))
+    with few_rows_read(documents.sparkSession):
+        stats = cut(batched(docs, _statistics, "doc_id long, stats array<double>"))
     model = fit(stats, labels)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

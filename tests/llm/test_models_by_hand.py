@@ -9,10 +9,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import quality_model as model
 from crowdpulse.llm import quality_rules
+from crowdpulse.llm.frames import ROWS_READ, cut, few_rows_read
 from crowdpulse.llm.queries import table, trusted
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -131,3 +133,35 @@ def test_features_of_many_rows_are_made_a_few_at_a_time():
     z = np.clip((stats - features.mean) / features.scale, -5, 5)
     assert np.allclose(found[:, :-1], np.sqrt(2 / model.FEATURES) * np.cos(z @ weights + shift), rtol=0, atol=1e-12)
     assert (found[:, -1] == 1).all() and features(stats[:0]).shape == (0, model.FEATURES + 1)
+
+
+def test_texts_are_read_a_few_rows_at_once(spark, tmp_path, monkeypatch):
+    """While their statistics are made, not after; a limit of the session's own is left."""
+    limit = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(limit, None)
+    spark.range(0, 1_000, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', id) AS text").write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality")
+    held = []
+
+    def noted(df):
+        held.append(spark.conf.get(limit, None))
+        return cut(df)
+
+    monkeypatch.setattr(model, "cut", noted)
+    try:
+        spark.conf.unset(limit)
+        scores = model.quality_scores(docs, labels)
+        assert held[0] == str(ROWS_READ) and held[1:] == [None] and spark.conf.get(limit, None) is None
+        found = {r.doc_id: r.score for r in scores.collect()}
+        assert len(found) == 1_000
+        with pytest.raises(ZeroDivisionError), few_rows_read(spark):
+            1 / 0
+        assert spark.conf.get(limit, None) is None
+
+        held.clear()
+        spark.conf.set(limit, "1000")
+        assert {r.doc_id: r.score for r in model.quality_scores(docs, labels).collect()} == found
+        assert held == ["1000", "1000"] and spark.conf.get(limit) == "1000"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
